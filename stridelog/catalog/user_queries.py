@@ -43,7 +43,8 @@ add("l04_cutoff_map_filter",
 SELECT (SELECT COUNT(*) FROM kept) AS n_events, COUNT(*) AS n_kept,
   (SELECT COUNT(*) FROM kept) - COUNT(*) AS n_dropped FROM lclean""")
 
-add("l05_event_counts", lambda s, d: labels.event_counts(events(s, d), history(s, d)),
+add("l05_event_counts",
+    lambda s, d: labels.event_counts(events(s, d), labels.user_cutoffs(events(s, d))).drop(CUTOFF),
     "SELECT * FROM counts")
 
 add("l06_positive_users", lambda s, d: labels.positive_users(history(s, d)),
@@ -240,7 +241,7 @@ SELECT COUNT(*) AS n_events, COUNT(*) FILTER (WHERE timestamp IS NULL) AS n_bad_
 
 
 def _null_audit(s, d):
-    """Over all users, with an hour's buffer before the cutoff, so that some have no events."""
+    """Over all users with cutoffs 20 days early, so that some have no events."""
     spine = labels.user_cutoffs(events(s, d)).withColumn(
         CUTOFF, F.col(CUTOFF) - F.expr("INTERVAL 20 DAYS"))
     before = features.joined_features(events(s, d), spine).select(*FEATURES)

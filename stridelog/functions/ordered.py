@@ -14,35 +14,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stridelog.functions.skew import attach_per_group
+
 CELL_BITS = 12
 CELLS = 1 << CELL_BITS
 
 
-def _join_on(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    return left.join(right, list(by)) if by else left.crossJoin(F.broadcast(right))
-
-
 def running_totals(df: DataFrame, by: Sequence[str], value: str, totals: Sequence[str],
-                   descending: bool, bounds: tuple[float, float] | None = None) -> DataFrame:
+                   descending: bool, low: Column, high: Column) -> DataFrame:
     """Add ``cum_<t>`` for each column of ``totals``: its sum up to and with this row.
 
-    ``df`` holds one row per (``by``, ``value``); both are never null. ``bounds`` are
-    the limits of ``value`` where they are known, which saves looking for them.
+    ``df`` holds one row per (``by``, ``value``); both are never null. ``low`` and ``high``
+    are the limits of ``value`` in the row's group.
     """
     by = list(by)
-    position = F.col(value).cast("double")
-    if bounds is None:
-        limits = df.groupBy(*by).agg(
-            F.min(position).alias("_lo"), F.max(position).alias("_hi")
-        )
-        placed = _join_on(df, limits, by)
-        low, high = F.col("_lo"), F.col("_hi")
-    else:
-        placed, low, high = df, F.lit(float(bounds[0])), F.lit(float(bounds[1]))
-    place = F.coalesce(F.try_divide(position - low, high - low), F.lit(0.0))
+    place = F.coalesce(F.try_divide(F.col(value).cast("double") - low, high - low), F.lit(0.0))
     if descending:
         place = F.lit(1.0) - place
-    placed = placed.withColumn("_fine", F.floor(place * F.lit(float(CELLS * CELLS)))) \
+    placed = df.withColumn("_fine", F.floor(place * F.lit(float(CELLS * CELLS)))) \
         .withColumn("_coarse", F.shiftright("_fine", CELL_BITS))
 
     fine = placed.groupBy(*by, "_coarse", "_fine").agg(
@@ -91,8 +80,14 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     )
-    sizes = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    running = _join_on(running_totals(counts, by, value, ["_n"], descending=False), sizes, by)
+    position = F.col(value).cast("double")
+    limits = counts.groupBy(*by).agg(
+        F.sum("_n").alias("_total"), F.min(position).alias("_lo"), F.max(position).alias("_hi")
+    )
+    running = running_totals(
+        attach_per_group(counts, limits, by, value), by, value, ["_n"], descending=False,
+        low=F.col("_lo"), high=F.col("_hi"),
+    )
 
     # The k-th smallest value (from 0) is the least one with more than k rows up to it.
     found, picks = [], []

@@ -1,13 +1,16 @@
-"""Joining events to per-user values when a single user may own much of the log."""
+"""Joins that stay even when one user, or one group, owns much of the data."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelog.config import EVENT, SKEW, TS, USER, SkewPolicy
 
 PIECE = "_piece"
+GROUP_PIECES = 64
 
 
 def hot_users(events: DataFrame, policy: SkewPolicy = SKEW) -> DataFrame:
@@ -45,3 +48,19 @@ def attach_per_user(events: DataFrame, per_user: DataFrame,
         PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
     ).drop("_pieces")
     return spread.join(repeated, [USER, PIECE])
+
+
+def attach_per_group(df: DataFrame, per_group: DataFrame, by: Sequence[str],
+                     spread_by: str) -> DataFrame:
+    """Inner join with a one-row-per-group table; for no groups, with its only row.
+
+    Each group's rows are spread over pieces by the hash of ``spread_by`` and the group's
+    row is repeated for each, so that no group has to pass through one task.
+    """
+    if not by:
+        return df.crossJoin(F.broadcast(per_group))
+    spread = df.withColumn(PIECE, F.pmod(F.xxhash64(spread_by), F.lit(GROUP_PIECES)).cast("int"))
+    repeated = per_group.withColumn(
+        PIECE, F.explode(F.sequence(F.lit(0), F.lit(GROUP_PIECES - 1)))
+    )
+    return spread.join(repeated, [*by, PIECE]).drop(PIECE)

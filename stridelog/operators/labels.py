@@ -68,11 +68,17 @@ def cutoff_filter_counts(events: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
-def event_counts(events: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """Clean events per user, up to the cutoff."""
-    clean = clean_events(events.select(USER, TS, EVENT), cutoffs, keep_piece=True)
-    pieces = clean.groupBy(USER, PIECE).agg(F.count(F.lit(1)).alias("n"))
-    return pieces.groupBy(USER).agg(F.sum("n").alias("pre_cutoff_events"))
+def event_counts(events: DataFrame, per_user: DataFrame) -> DataFrame:
+    """Clean events per user up to the cutoff, next to the user's other columns."""
+    allowed = without_banned(events.select(USER, TS, EVENT), keep_null=False)
+    clean = attach_per_user(allowed, per_user).where(F.col(TS) <= F.col(CUTOFF))
+    others = [c for c in per_user.columns if c != USER]
+    pieces = clean.groupBy(USER, PIECE).agg(
+        F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in others]
+    )
+    return pieces.groupBy(USER).agg(
+        F.sum("n").alias("pre_cutoff_events"), *[F.max(c).alias(c) for c in others]
+    )
 
 
 def positive_users(history: DataFrame) -> DataFrame:
@@ -102,27 +108,25 @@ def labelled_classes(history: DataFrame) -> DataFrame:
 
 
 def build_labels(events: DataFrame, min_events: int = MIN_EVENTS) -> DataFrame:
-    """``person_id, will_upgrade_in_7d, user_cutoff_ts`` of users with enough clean events."""
-    history = user_history(events)
-    counts = event_counts(events, history)
-    active = counts.where(F.col("pre_cutoff_events") >= min_events).select(USER)
-    return labelled_classes(history).join(active, USER).select(USER, LABEL, CUTOFF)
+    """``person_id, will_upgrade_in_7d, user_cutoff_ts`` of users with enough clean events.
+
+    A user's label travels with the cutoff through the counting, so the counts need not
+    be joined to the classes again.
+    """
+    counts = event_counts(events, labelled_classes(user_history(events)))
+    active = counts.where(F.col("pre_cutoff_events") >= min_events)
+    return active.select(USER, LABEL, CUTOFF)
 
 
 def label_diagnostics(events: DataFrame, min_events: int = MIN_EVENTS) -> DataFrame:
     """Class sizes before and after the activity filter, as one row."""
-    history = user_history(events)
-    counts = event_counts(events, history)
-    kept = labelled_classes(history).join(counts, USER, "left").select(
-        LABEL, (F.coalesce("pre_cutoff_events", F.lit(0)) >= min_events).alias("kept")
-    )
-    positive, negative = F.col(LABEL) == 1, F.col(LABEL) == 0
-    return kept.agg(
-        F.count_if(positive).alias("positives_before"),
-        F.count_if(positive & F.col("kept")).alias("positives_after"),
-        F.count_if(negative).alias("negatives_before"),
-        F.count_if(negative & F.col("kept")).alias("negatives_after"),
-    )
+    def sizes(labelled: DataFrame, when: str) -> DataFrame:
+        return labelled.agg(
+            F.count_if(F.col(LABEL) == 1).alias(f"positives_{when}"),
+            F.count_if(F.col(LABEL) == 0).alias(f"negatives_{when}"),
+        )
+    before = sizes(labelled_classes(user_history(events)), "before")
+    return before.crossJoin(F.broadcast(sizes(build_labels(events, min_events), "after")))
 
 
 def labels_with_diagnostics(events: DataFrame, min_events: int = MIN_EVENTS) -> DataFrame:

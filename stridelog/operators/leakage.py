@@ -6,7 +6,10 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
+from math import isnan
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,16 +126,18 @@ def drop_banned_columns(df: DataFrame, keep: Sequence[str] = (LABEL, CUTOFF),
 
 
 def feature_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every pair of columns, in one aggregation; null for a constant column."""
-    pairs = list(combinations(columns, 2))
-    stats = df.agg(
-        *[pearson(F.col(a), F.col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
+    """Correlation of every pair of columns, nulls as 0; null for a constant column.
+
+    The matrix is added up on the executors; only its (columns x columns) cells reach the
+    driver.
+    """
+    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(filled)
+    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
+    rows = [
+        (columns[i], columns[j], None if isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, j in combinations(range(len(columns)), 2)
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "feature_a STRING, feature_b STRING, r DOUBLE"
     )
-    rows = F.array(*[
-        F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-            F.col(f"`{i}`").alias("r"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return stats.select(F.inline(rows))

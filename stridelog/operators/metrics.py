@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stridelog.config import LEAD_TIERS
 from stridelog.functions.columns import first_match, safe_ratio, share_pct
 from stridelog.functions.ordered import exact_quantiles, running_totals
+from stridelog.functions.skew import attach_per_group
 
 EPSILON = 2.220446049250313e-16
 
@@ -39,7 +40,7 @@ def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
     return running_totals(
-        counts, by, "p", ["pos", "neg"], descending=True, bounds=(0.0, 1.0)
+        counts, by, "p", ["pos", "neg"], descending=True, low=F.lit(0.0), high=F.lit(1.0)
     )
 
 
@@ -127,7 +128,7 @@ def _class_sizes(scored: DataFrame, by: Sequence[str]) -> DataFrame:
 def roc_points(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate per distinct score, and the origin (score null)."""
     sizes = _class_sizes(scored, by)
-    points = _pair(score_curve(scored, by), sizes, by).select(
+    points = attach_per_group(score_curve(scored, by), sizes, by, "p").select(
         *by, F.col("p").alias("threshold"),
         safe_ratio(F.col("cum_neg"), F.col("_N")).alias("fpr"),
         safe_ratio(F.col("cum_pos"), F.col("_P")).alias("tpr"),
@@ -144,7 +145,7 @@ def pr_points(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     sizes = _class_sizes(scored, by).withColumn(
         "base_rate", safe_ratio(F.col("_P"), F.col("_P") + F.col("_N"))
     )
-    points = _pair(score_curve(scored, by), sizes, by).select(
+    points = attach_per_group(score_curve(scored, by), sizes, by, "p").select(
         *by, F.col("p").alias("threshold"),
         safe_ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
         safe_ratio(F.col("cum_pos"), F.col("_P")).alias("recall"),

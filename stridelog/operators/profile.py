@@ -180,7 +180,8 @@ def property_scan(events: DataFrame, allowed: dict[str, Sequence[str]]) -> DataF
             & ~is_known_in(F.col("value"), values)
         )
     leaks = counts.groupBy("property").agg(F.max(flag(outside)).alias("leaks"))
-    return counts.join(leaks, "property").select("property", "value", "cnt", "leaks")
+    # One row per property asked for.
+    return counts.join(F.broadcast(leaks), "property").select("property", "value", "cnt", "leaks")
 
 
 def upgrade_timing(events: DataFrame, near_hours: float = 3.0) -> DataFrame:

@@ -60,8 +60,9 @@ def snapshot_boundaries(events: DataFrame, window_weeks: int = WINDOW_WEEKS) ->
 
     Empty for a log of less than two weeks.
     """
-    kind = events.schema[TS].dataType.typeName()
-    span = _span(clean_raw(events), window_weeks)
+    clean = clean_raw(events)
+    kind = clean.schema[TS].dataType.typeName()
+    span = _span(clean, window_weeks)
     boundary = F.when(
         F.col("place") <= F.col("n_weeks"), F.date_add("first_day", F.col("place") * 7)
     ).otherwise(F.date_add("last_day", 1))

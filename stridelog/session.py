@@ -13,6 +13,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Broadcast tables here are small, but what leads to them may read the whole log.
+    "spark.sql.broadcastTimeout": "36000",
 }
 
 _local_folder: str | None = None
