@@ -1,10 +1,8 @@
 """Running totals, exact quantiles and row numbers that need no single sorted task.
 
-A plain window over a whole table sorts it in one task. Here every value gets a
-coarse and a fine cell by its place between the group's smallest and largest value.
-Totals of cells are accumulated over at most ``CELLS`` rows per window, and only the
-rows of one fine cell meet in a window of their own. The results are those of the
-plain window.
+A plain window or ``percentile`` brings a whole table, or a whole group, into one task.
+The functions here first cut the data by value, so that a task only ever orders a small
+part of it. The results are those of the plain forms.
 """
 
 from __future__ import annotations
@@ -19,24 +17,29 @@ from stridelog.functions.skew import attach_per_group
 CELL_BITS = 12
 CELLS = 1 << CELL_BITS
 
+# Rank error of the approximate quantiles, and how far around one its exact value is sought.
+ACCURACY = 10_000
+MARGIN = 4 / ACCURACY
 
-def running_totals(df: DataFrame, by: Sequence[str], value: str, totals: Sequence[str],
-                   descending: bool, low: Column, high: Column) -> DataFrame:
-    """Add ``cum_<t>`` for each column of ``totals``: its sum up to and with this row.
+# Groups up to this size are ranked as they are; above it a margin holds many ranks.
+SMALL_GROUP = 100_000
 
-    ``df`` holds one row per (``by``, ``value``); both are never null. ``low`` and ``high``
-    are the limits of ``value`` in the row's group.
+
+def running_totals(df: DataFrame, by: Sequence[str], value: str,
+                   totals: Sequence[str]) -> DataFrame:
+    """Add ``cum_<t>`` for each column of ``totals``: its sum over this and all higher values.
+
+    ``df`` holds one row per (``by``, ``value``), both never null, ``value`` in [0, 1].
+    Values fall into coarse cells and these into fine ones. Totals of cells are added up
+    over at most ``CELLS`` + 1 rows per window, and only the rows of one fine cell meet in
+    a window of their own.
     """
     by = list(by)
-    place = F.coalesce(F.try_divide(F.col(value).cast("double") - low, high - low), F.lit(0.0))
-    if descending:
-        place = F.lit(1.0) - place
-    placed = df.withColumn("_fine", F.floor(place * F.lit(float(CELLS * CELLS)))) \
-        .withColumn("_coarse", F.shiftright("_fine", CELL_BITS))
-
-    fine = placed.groupBy(*by, "_coarse", "_fine").agg(
+    place = F.floor((F.lit(1.0) - F.col(value)) * F.lit(float(CELLS * CELLS)))
+    placed = df.withColumn("_fine", place)
+    fine = placed.groupBy(*by, "_fine").agg(
         *[F.sum(t).alias(f"_sum_{t}") for t in totals]
-    )
+    ).withColumn("_coarse", F.shiftright("_fine", CELL_BITS))
     coarse = fine.groupBy(*by, "_coarse").agg(
         *[F.sum(f"_sum_{t}").alias(f"_sum_{t}") for t in totals]
     )
@@ -57,9 +60,7 @@ def running_totals(df: DataFrame, by: Sequence[str], value: str, totals: Sequenc
         *by, "_fine",
         *[(F.col(f"_coarse_{t}") + F.col(f"_fine_{t}")).alias(f"_before_{t}") for t in totals],
     )
-
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    within = Window.partitionBy(*by, "_fine").orderBy(order).rowsBetween(
+    within = Window.partitionBy(*by, "_fine").orderBy(F.col(value).desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return placed.join(offsets, [*by, "_fine"]).select(
@@ -68,39 +69,69 @@ def running_totals(df: DataFrame, by: Sequence[str], value: str, totals: Sequenc
     )
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
-                    names: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, names: dict[str, float],
+                    few_groups: bool = False) -> DataFrame:
     """Interpolated quantiles of ``value`` per group, one column per entry of ``names``.
 
-    Exact, as ``percentile`` is, but no group's values are held in one task. Null
-    values are left out; a group without values gives no row.
+    Approximate quantiles give a narrow range around each. A second pass counts the rows
+    below the range and the distinct values within it, and reads off the exact ranks: a
+    task orders some ``2 * MARGIN`` of a group's values, not all of them. Null values are
+    left out; a group without values gives no row. ``few_groups`` says that the number of
+    groups is bounded (columns, classes), so that a table of them broadcasts.
     """
     by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    values = df.where(F.col(value).isNotNull()).select(
+        *by, F.col(value).cast("double").alias("_v")
     )
-    position = F.col(value).cast("double")
-    limits = counts.groupBy(*by).agg(
-        F.sum("_n").alias("_total"), F.min(position).alias("_lo"), F.max(position).alias("_hi")
+    probs = list(names.values())
+    low = [max(p - MARGIN, 0.0) for p in probs]
+    high = [min(p + MARGIN, 1.0) for p in probs]
+    edges = F.percentile_approx("_v", [*low, *high], ACCURACY)
+    ranges = values.groupBy(*by).agg(edges.alias("_edges"), F.count(F.lit(1)).alias("_total"))
+
+    # Per quantile a row counts by its value when within the range, as null when below it.
+    infinity, small = F.lit(float("inf")), F.col("_total") <= SMALL_GROUP
+    places = []
+    for i in range(len(probs)):
+        least = F.when(small | F.lit(low[i] == 0.0), -infinity).otherwise(F.col("_edges")[i])
+        most = F.when(small | F.lit(high[i] == 1.0), infinity).otherwise(
+            F.col("_edges")[len(probs) + i]
+        )
+        key = F.when(F.col("_v") >= least, F.col("_v"))
+        places.append(F.when(F.col("_v") <= most, F.struct(F.lit(i).alias("i"), key.alias("key"))))
+    placed = (
+        attach_per_group(values, ranges, by, "_v", few_groups)
+        .where(F.col("_total").isNotNull())
+        .select(*by, "_total", F.explode(F.filter(F.array(*places), lambda x: x.isNotNull()))
+                .alias("_at"))
+        .groupBy(*by, F.col("_at.i").alias("_i"), F.col("_at.key").alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total"))
     )
-    running = running_totals(
-        attach_per_group(counts, limits, by, value), by, value, ["_n"], descending=False,
-        low=F.col("_lo"), high=F.col("_hi"),
+    ascending = Window.partitionBy(*by, "_i").orderBy(F.asc_nulls_first("_key")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    ranked = placed.withColumn("_cum", F.sum("_n").over(ascending))
 
     # The k-th smallest value (from 0) is the least one with more than k rows up to it.
-    found, picks = [], []
-    for name, p in names.items():
+    found, picks = [F.max("_total").alias("_total")], []
+    for i, (name, p) in enumerate(names.items()):
+        mine = F.col("_i") == i
         rank = F.lit(p) * (F.col("_total") - 1)
+        inside = mine & F.col("_key").isNotNull()
         for side, k in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
             found.append(
-                F.min(F.when(F.col("cum__n") > k, F.col(value))).cast("double")
-                .alias(f"_{name}_{side}")
+                F.min(F.when(inside & (F.col("_cum") > k), F.col("_key"))).alias(f"_{name}_{side}")
             )
+        missed = F.count_if(mine & F.col("_key").isNull() & (F.col("_cum") > F.floor(rank)))
+        found.append(missed.alias(f"_{name}_missed"))
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        picks.append((lo + (hi - lo) * (rank - F.floor(rank))).alias(name))
-    per_group = running.groupBy(*by).agg(F.max("_total").alias("_total"), *found)
+        exact = lo + (hi - lo) * (rank - F.floor(rank))
+        wrong = (F.col(f"_{name}_missed") > 0) | hi.isNull()
+        picks.append(
+            F.when(wrong, F.raise_error(F.lit(f"quantile {p} lies outside its range")))
+            .otherwise(exact).alias(name)
+        )
+    per_group = ranked.groupBy(*by).agg(*found)
     return per_group.where(F.col("_total").isNotNull()).select(*by, *picks)
 
 

@@ -13,12 +13,13 @@ PIECE = "_piece"
 GROUP_PIECES = 64
 
 
-def hot_users(events: DataFrame, policy: SkewPolicy = SKEW) -> DataFrame:
+def hot_users(events: DataFrame, policy: SkewPolicy | None = None) -> DataFrame:
     """Users with more events than one task should take, and into how many pieces to cut them.
 
     Holds at most ``policy.max_hot_users`` rows: each of them owns more than that share
     of all events.
     """
+    policy = policy or SKEW
     counts = events.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     limit = F.greatest(
@@ -32,7 +33,7 @@ def hot_users(events: DataFrame, policy: SkewPolicy = SKEW) -> DataFrame:
 
 
 def attach_per_user(events: DataFrame, per_user: DataFrame,
-                    policy: SkewPolicy = SKEW) -> DataFrame:
+                    policy: SkewPolicy | None = None) -> DataFrame:
     """Inner join of events with a one-row-per-user table, safe against hot users.
 
     The events of a hot user are spread over pieces and the user's row is repeated for
@@ -51,14 +52,17 @@ def attach_per_user(events: DataFrame, per_user: DataFrame,
 
 
 def attach_per_group(df: DataFrame, per_group: DataFrame, by: Sequence[str],
-                     spread_by: str) -> DataFrame:
+                     spread_by: str, few_groups: bool = False) -> DataFrame:
     """Inner join with a one-row-per-group table; for no groups, with its only row.
 
     Each group's rows are spread over pieces by the hash of ``spread_by`` and the group's
-    row is repeated for each, so that no group has to pass through one task.
+    row is repeated for each, so that no group has to pass through one task. Where the
+    number of groups is bounded, ``few_groups``, the table is broadcast instead.
     """
     if not by:
         return df.crossJoin(F.broadcast(per_group))
+    if few_groups:
+        return df.join(F.broadcast(per_group), list(by))
     spread = df.withColumn(PIECE, F.pmod(F.xxhash64(spread_by), F.lit(GROUP_PIECES)).cast("int"))
     repeated = per_group.withColumn(
         PIECE, F.explode(F.sequence(F.lit(0), F.lit(GROUP_PIECES - 1)))

@@ -46,7 +46,8 @@ def cluster_input(feature_store: DataFrame) -> DataFrame:
 def scaling_parameters(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Median and interquartile range per feature; a range of 0 counts as 1."""
     quartiles = exact_quantiles(
-        long_form(df, [], columns), ["feature"], "value", {"q1": 0.25, "center": 0.5, "q3": 0.75}
+        long_form(df, [], columns), ["feature"], "value",
+        {"q1": 0.25, "center": 0.5, "q3": 0.75}, few_groups=True,
     )
     spread = F.col("q3") - F.col("q1")
     return quartiles.select(

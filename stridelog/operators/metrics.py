@@ -39,9 +39,7 @@ def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     counts = scored.groupBy(*by, "p").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
-    return running_totals(
-        counts, by, "p", ["pos", "neg"], descending=True, low=F.lit(0.0), high=F.lit(1.0)
-    )
+    return running_totals(counts, by, "p", ["pos", "neg"])
 
 
 def rank_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -246,7 +244,7 @@ def class_separation(scored: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.avg("p").alias("mean_p"),
         F.min("p").alias("min_p"), F.max("p").alias("max_p"),
     )
-    return spread.join(exact_quantiles(scored, ["y"], "p", {"median_p": 0.5}), "y")
+    return spread.join(exact_quantiles(scored, ["y"], "p", {"median_p": 0.5}, True), "y")
 
 
 def score_histogram(scored: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:

@@ -64,7 +64,7 @@ def get_feature_cols(df: DataFrame) -> list[str]:
 def feature_medians(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Exact median per feature, one row per feature; null for a feature without values."""
     long = long_form(df, [], features)
-    found = exact_quantiles(long, ["feature"], "value", {"median": 0.5})
+    found = exact_quantiles(long, ["feature"], "value", {"median": 0.5}, few_groups=True)
     names = df.sparkSession.createDataFrame([(f,) for f in features], "feature STRING")
     return names.join(found, "feature", "left")
 

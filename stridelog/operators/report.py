@@ -118,7 +118,8 @@ def kpi_row(feature_store: DataFrame) -> DataFrame:
 def quantile_table(df: DataFrame, columns: Sequence[str],
                    quantiles: Mapping[str, float]) -> DataFrame:
     """Exact quantiles of each column, one row per column."""
-    return exact_quantiles(long_form(df, [], columns), ["feature"], "value", dict(quantiles))
+    long = long_form(df, [], columns)
+    return exact_quantiles(long, ["feature"], "value", dict(quantiles), few_groups=True)
 
 
 def descriptive_stats(df: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFrame:
