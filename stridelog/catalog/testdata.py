@@ -88,8 +88,7 @@ def stage(spark: SparkSession, sf_dir: str, name: str,
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log: event_id, person_id, timestamp, event, canvas_id, props."""
     configure(spark)
-    return stage(spark, sf_dir, "events", lambda: canonical_events(spark, sf_dir).repartition(
-        spark.sparkContext.defaultParallelism, "event_id"))
+    return stage(spark, sf_dir, "events", lambda: canonical_events(spark, sf_dir))
 
 
 def label_table(spark: SparkSession, sf_dir: str) -> DataFrame:

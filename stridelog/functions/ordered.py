@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from stridelog.functions.skew import attach_per_group
 
-CELL_BITS = 12
-CELLS = 1 << CELL_BITS
+# Values are cut into CELLS parts of about equal size, found in two steps of BLOCK bounds.
+BLOCK = 32
+CELLS = BLOCK * BLOCK
 
 # Rank error of the approximate quantiles, and how far around one its exact value is sought.
 ACCURACY = 10_000
@@ -29,55 +30,56 @@ def running_totals(df: DataFrame, by: Sequence[str], value: str,
                    totals: Sequence[str]) -> DataFrame:
     """Add ``cum_<t>`` for each column of ``totals``: its sum over this and all higher values.
 
-    ``df`` holds one row per (``by``, ``value``), both never null, ``value`` in [0, 1].
-    Values fall into coarse cells and these into fine ones. Totals of cells are added up
-    over at most ``CELLS`` + 1 rows per window, and only the rows of one fine cell meet in
-    a window of their own.
+    ``df`` holds one row per (``by``, ``value``), both never null. Approximate quantiles
+    cut each group into cells; the cells' totals are added up over at most ``CELLS`` rows,
+    and only the rows of one cell meet in a window of their own. As the cells follow the
+    data and a value is one row, none of them grows out of proportion.
     """
     by = list(by)
-    place = F.floor((F.lit(1.0) - F.col(value)) * F.lit(float(CELLS * CELLS)))
-    placed = df.withColumn("_fine", place)
-    fine = placed.groupBy(*by, "_fine").agg(
-        *[F.sum(t).alias(f"_sum_{t}") for t in totals]
-    ).withColumn("_coarse", F.shiftright("_fine", CELL_BITS))
-    coarse = fine.groupBy(*by, "_coarse").agg(
-        *[F.sum(f"_sum_{t}").alias(f"_sum_{t}") for t in totals]
+    shares = ", ".join(f"{i / CELLS}D" for i in range(1, CELLS))  # one parse, not 1023 calls
+    bounds = df.groupBy(*by).agg(
+        F.expr(f"percentile_approx(`{value}`, array({shares}), {ACCURACY})").alias("_bounds")
+    )
+    every_block = F.sequence(F.lit(BLOCK), F.lit(CELLS - 1), F.lit(BLOCK))
+    bounds = bounds.withColumn(
+        "_outer", F.transform(every_block, lambda i: F.element_at("_bounds", i))
     )
 
-    def before(t: str, keys: Sequence[str], order: str) -> Column:
-        window = Window.partitionBy(*keys).orderBy(order)
-        rows = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(f"_sum_{t}").over(rows), F.lit(0))
+    def below(array: Column) -> Column:
+        return F.size(F.filter(array, lambda bound: bound < F.col(value)))
 
-    coarse_before = coarse.select(
-        *by, "_coarse", *[before(t, by, "_coarse").alias(f"_coarse_{t}") for t in totals]
-    )
-    fine_before = fine.select(
-        *by, "_coarse", "_fine",
-        *[before(t, [*by, "_coarse"], "_fine").alias(f"_fine_{t}") for t in totals],
+    block = below(F.col("_outer"))
+    inner = below(F.slice("_bounds", block * BLOCK + 1, F.lit(BLOCK - 1)))
+    placed = attach_per_group(df, bounds, by, value).select(
+        *df.columns, (block * BLOCK + inner).alias("_cell")
     )
-    offsets = fine_before.join(coarse_before, [*by, "_coarse"]).select(
-        *by, "_fine",
-        *[(F.col(f"_coarse_{t}") + F.col(f"_fine_{t}")).alias(f"_before_{t}") for t in totals],
+    cells = placed.groupBy(*by, "_cell").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
+    higher = Window.partitionBy(*by).orderBy(F.desc("_cell")).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    within = Window.partitionBy(*by, "_fine").orderBy(F.col(value).desc()).rowsBetween(
+    offsets = cells.select(*by, "_cell", *[
+        F.coalesce(F.sum(f"_sum_{t}").over(higher), F.lit(0)).alias(f"_before_{t}")
+        for t in totals
+    ])
+    within = Window.partitionBy(*by, "_cell").orderBy(F.desc(value)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return placed.join(offsets, [*by, "_fine"]).select(
+    return placed.join(offsets, [*by, "_cell"]).select(
         *df.columns,
         *[(F.col(f"_before_{t}") + F.sum(t).over(within)).alias(f"cum_{t}") for t in totals],
     )
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, names: dict[str, float],
-                    few_groups: bool = False) -> DataFrame:
+                    few_groups: bool = False, size_name: str | None = None) -> DataFrame:
     """Interpolated quantiles of ``value`` per group, one column per entry of ``names``.
 
     Approximate quantiles give a narrow range around each. A second pass counts the rows
     below the range and the distinct values within it, and reads off the exact ranks: a
     task orders some ``2 * MARGIN`` of a group's values, not all of them. Null values are
     left out; a group without values gives no row. ``few_groups`` says that the number of
-    groups is bounded (columns, classes), so that a table of them broadcasts.
+    groups is bounded (columns, classes), so that a table of them broadcasts;
+    ``size_name`` adds a column with the number of values.
     """
     by = list(by)
     values = df.where(F.col(value).isNotNull()).select(
@@ -132,6 +134,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, names: dict[st
             .otherwise(exact).alias(name)
         )
     per_group = ranked.groupBy(*by).agg(*found)
+    if size_name is not None:
+        picks.append(F.col("_total").alias(size_name))
     return per_group.where(F.col("_total").isNotNull()).select(*by, *picks)
 
 

@@ -1,6 +1,6 @@
 """Evaluation of scores against labels.
 
-Every function takes a table with a label ``y`` (0 or 1) and a score ``p`` in [0, 1].
+Every function takes a table with a label ``y`` (0 or 1) and a score ``p``.
 With ``by`` the metrics are per group, such as per fold or split. Scores are first
 counted per distinct value, so curves have one point per distinct score.
 """

@@ -121,8 +121,9 @@ def full_profile(events: DataFrame) -> DataFrame:
         "09_users_promo_code_redeemed": users(F.col("promo") == 1),
     }
     wide = per_user.agg(*[m.cast("string").alias(name) for name, m in metrics.items()])
-    types = events.groupBy(EVENT).count().agg(
-        F.count(EVENT).cast("string").alias("value")
+    counts = events.groupBy(EVENT).agg(F.count(F.lit(1)).alias("cnt"))
+    types = counts.agg(
+        F.count_if(F.col(EVENT).isNotNull() & (F.col("cnt") > 0)).cast("string").alias("value")
     ).select(F.lit("03_distinct_event_types").alias("metric"), "value")
     return (
         wide.unpivot([], list(metrics), "metric", "value")
@@ -179,7 +180,9 @@ def property_scan(events: DataFrame, allowed: dict[str, Sequence[str]]) -> DataF
             & F.col("value").isNotNull()
             & ~is_known_in(F.col("value"), values)
         )
-    leaks = counts.groupBy("property").agg(F.max(flag(outside)).alias("leaks"))
+    leaks = counts.groupBy("property").agg(
+        F.max(flag(outside & (F.col("cnt") > 0))).alias("leaks")
+    )
     # One row per property asked for.
     return counts.join(F.broadcast(leaks), "property").select("property", "value", "cnt", "leaks")
 
@@ -197,9 +200,10 @@ def upgrade_timing(events: DataFrame, near_hours: float = 3.0) -> DataFrame:
     hours = attach_per_user(events.select(USER, TS, EVENT), upgrades).where(
         F.col(EVENT).isNotNull() & F.col(TS).isNotNull()
     ).select(EVENT, (frac_days("_upgrade_ts", TS) * 24).alias("hours"))
-    median = exact_quantiles(hours, [EVENT], "hours", {"median_hours": 0.5})
-    counts = hours.groupBy(EVENT).agg(F.count(F.lit(1)).alias("n_events"))
-    return counts.join(median, EVENT).select(
+    median = exact_quantiles(
+        hours, [EVENT], "hours", {"median_hours": 0.5}, size_name="n_events"
+    )
+    return median.select(
         EVENT, "n_events", "median_hours",
         flag(F.col("median_hours") <= near_hours).alias("suspect"),
         flag(is_known_in(F.col(EVENT), BANNED_EVENTS)).alias("is_banned"),

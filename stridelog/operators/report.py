@@ -84,13 +84,13 @@ def generate_full_report(segments: DataFrame, predictions: DataFrame | None = No
         F.count(F.lit(1)).alias("user_count"), F.avg(score).alias("mean_upgrade_prob"),
         converted.alias("actual_conversion_rate"),
     )
-    total = sizes.agg(F.sum("user_count").alias("_total"))
+    total = F.sum("user_count").over(Window.partitionBy())  # over a row per segment
     top = top_diagnostic_features(segments, features).groupBy(SEGMENT).agg(
         F.sort_array(F.collect_list(F.struct("rank", "feature", "value"))).alias("_top")
     )
     known = F.broadcast(definitions(segments.sparkSession).drop("rules"))
     return (
-        sizes.crossJoin(F.broadcast(total)).join(top, SEGMENT).join(known, SEGMENT, "left")
+        sizes.withColumn("_total", total).join(top, SEGMENT).join(known, SEGMENT, "left")
         .select(
             SEGMENT, "user_count",
             share_pct(F.col("user_count"), F.col("_total"), 2).alias("pct_of_total"),

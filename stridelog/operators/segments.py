@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelog.config import LABEL, SEGMENT, UNCLASSIFIED_LIMIT_PCT, USER
@@ -206,10 +206,10 @@ def get_segment_stats(segments: DataFrame) -> DataFrame:
         F.count(USER).alias("user_count"), F.count(F.lit(1)).alias("_rows"),
         *[F.round(F.avg(c), 3).alias(c) for c in means],
     )
-    total = stats.agg(F.sum("_rows").alias("_total"))
+    total = F.sum("_rows").over(Window.partitionBy())  # over a row per segment
     place = F.broadcast(segment_order(segments.sparkSession))
     return (
-        stats.crossJoin(F.broadcast(total)).join(place, SEGMENT, "left")
+        stats.withColumn("_total", total).join(place, SEGMENT, "left")
         .orderBy(F.asc_nulls_last("place"))
         .select(
             SEGMENT, "user_count",
@@ -225,11 +225,11 @@ def segment_conversion(segments: DataFrame) -> DataFrame:
         F.sum(F.col(LABEL).cast("long")).alias("upgraders"),
         F.round(F.avg(F.col(LABEL)) * 100, 2).alias("conv_rate_pct"),
     )
-    total = sizes.agg(F.sum("user_count").alias("_total"))
-    return sizes.crossJoin(F.broadcast(total)).orderBy(F.desc("user_count"), SEGMENT).select(
+    total = F.sum("user_count").over(Window.partitionBy())  # over a row per segment
+    return sizes.select(
         SEGMENT, "user_count", "upgraders", "conv_rate_pct",
-        share_pct(F.col("user_count"), F.col("_total"), 1).alias("share_pct"),
-    )
+        share_pct(F.col("user_count"), total, 1).alias("share_pct"),
+    ).orderBy(F.desc("user_count"), SEGMENT)
 
 
 def rules_from(definitions_by_name: Mapping[str, str]) -> tuple[tuple[str, str], ...]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridelog.config import BANNED_EVENTS, EVENT, TS
-from stridelog.functions.columns import is_known_in, share_pct
+from stridelog.functions.columns import flag, is_known_in, share_pct
 
 # Names a flat session column may have.
 SESSION_COLUMNS = ("properties.canvas_id", "canvas_id")
@@ -81,14 +81,17 @@ def load_raw_events(spark: SparkSession, path: str, drop_banned: bool = True,
 def drop_audit(events: DataFrame, banned: Sequence[str] = BANNED_EVENTS) -> DataFrame:
     """Rows lost per banned event, with the total lost, its share and what remains."""
     timed = with_timestamps(events).where(F.col(TS).isNotNull())
-    counts = timed.groupBy(EVENT).agg(F.count(F.lit(1)).alias("n_dropped"))
-    is_banned = is_known_in(F.col(EVENT), banned)
+    # The flag is an aggregate, so that rows and totals read the same counts.
+    counts = timed.groupBy(EVENT).agg(
+        F.count(F.lit(1)).alias("n_dropped"),
+        F.max(flag(is_known_in(F.col(EVENT), banned))).alias("_banned"),
+    )
     totals = counts.agg(
         F.sum("n_dropped").alias("_all"),
-        F.sum(F.when(is_banned, F.col("n_dropped")).otherwise(0)).alias("total_dropped"),
+        F.sum(F.col("n_dropped") * F.col("_banned")).alias("total_dropped"),
     )
     return (
-        counts.where(is_banned)
+        counts.where("_banned = 1")
         .crossJoin(F.broadcast(totals))
         .select(
             EVENT, "n_dropped", "total_dropped",
