@@ -106,13 +106,19 @@ def generate_full_report(segments: DataFrame, predictions: DataFrame | None = No
     )
 
 
-def kpi_row(feature_store: DataFrame) -> DataFrame:
-    """Labelled users, upgraders and the upgrade rate in percent."""
-    return feature_store.agg(
+def kpi_row(feature_store: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """Labelled users, upgraders and the upgrade rate in percent.
+
+    With a training run's metadata row, its two ROC-AUCs as well.
+    """
+    kpis = feature_store.agg(
         F.count(F.lit(1)).alias("labelled_users"),
         F.sum(F.col(LABEL).cast("long")).alias("upgraders"),
         F.round(F.avg(LABEL) * 100, 2).alias("upgrade_rate_pct"),
     )
+    if metadata is None:
+        return kpis
+    return kpis.crossJoin(F.broadcast(metadata.select("oof_auc", "test_auc")))
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str],

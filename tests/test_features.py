@@ -68,7 +68,8 @@ def test_users_without_events_get_zeros(log, cutoffs, spark):
     store = features.build_feature_store(events, known)
     assert store.count() == 3
     for user in ("banned", "silent"):
-        assert all(row(store, user)[c] == 0 for c in FEATURES)
+        found = row(store, user)
+        assert all(found[c] == 0 for c in FEATURES)
     assert row(store, "a")["total_sessions"] == 1
     assert store.select([F.count_if(F.col(c).isNull()) for c in FEATURES]).first() == (0,) * 22
 
