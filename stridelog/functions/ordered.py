@@ -20,7 +20,7 @@ CELLS = BLOCK * BLOCK
 
 # Rank error of the approximate quantiles, and how far around one its exact value is sought.
 ACCURACY = 10_000
-MARGIN = 4 / ACCURACY
+MARGIN = 10 / ACCURACY
 
 # Groups up to this size are ranked as they are; above it a margin holds many ranks.
 SMALL_GROUP = 100_000
