@@ -9,7 +9,7 @@ from stridelog.catalog.query import Collection
 from stridelog.catalog.testdata import (
     events, feature_store, label_table, scored_users, segment_table, split_table,
 )
-from stridelog.config import EVENT, FEATURES, PREDICTION_RANGES, TS, USER
+from stridelog.config import EVENT, PREDICTION_RANGES, TS, USER
 from stridelog.operators import metrics, profile, report
 from stridelog.session import new_path
 from stridelog.sources import events as source
@@ -295,5 +295,3 @@ SELECT CAST(SUM(n) AS BIGINT) AS total_events, COUNT(*) AS unique_users,
     / (SELECT COUNT(*) FROM lab)::DOUBLE, 2) AS upgraded_pct,
   COUNT(*) - (SELECT COUNT(*) FROM lab) AS excluded_users
 FROM (SELECT person_id, COUNT(*) AS n FROM ev GROUP BY person_id)""")
-
-__all__ = ["QUERIES", "FEATURE_DOUBLES", "FOLD_SQL", "FEATURES"]

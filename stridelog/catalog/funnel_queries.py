@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelog.catalog.oracle import SEGMENT_CASE
 from stridelog.catalog.query import Collection
 from stridelog.catalog.testdata import events, feature_store, segment_table, stage
 from stridelog.config import CLUSTER_FEATURES, SEGMENT, USER
@@ -161,8 +160,14 @@ add("k02_robust_scaling",
     f"SELECT person_id, {SCALED} FROM fs", CLUSTER_FEATURES)
 
 
+_vectors: dict[tuple[str, str], DataFrame] = {}
+
+
 def vectors(s: SparkSession, d: str) -> DataFrame:
-    return stage(s, d, "cluster-vectors", lambda: clustering.cluster_vectors(feature_store(s, d)))
+    key = (s.sparkContext.applicationId, d)
+    if key not in _vectors:
+        _vectors[key] = clustering.cluster_vectors(feature_store(s, d))
+    return _vectors[key]
 
 
 def clusters(s: SparkSession, d: str) -> DataFrame:
@@ -184,5 +189,3 @@ add("k07_segment_profile",
         + " FROM seg" for c in CLUSTER_FEATURES))
 
 add("k08_cluster_by_segment", lambda s, d: clustering.cluster_by_segment(clusters(s, d)))
-
-__all__ = ["QUERIES", "SEGMENT_CASE"]

@@ -213,8 +213,8 @@ trans AS (
 
 
 def sql(body: str, doubles=()) -> str:
-    """A whole query: the shared tables, the body, and its doubles to six digits."""
+    """A whole query: the shared tables, the body, and its doubles to nine digits."""
     if not doubles:
         return PREFIX + f"SELECT * FROM (\n{body}\n) AS result"
-    rounding = ", ".join(f'round("{c}", 6) AS "{c}"' for c in doubles)
+    rounding = ", ".join(f'round("{c}", 9) AS "{c}"' for c in doubles)
     return PREFIX + f"SELECT * REPLACE ({rounding}) FROM (\n{body}\n) AS result"

@@ -25,7 +25,7 @@ class Collection(dict[str, Query]):
 
     def add(self, name: str, run: Run, sql: str | None = None,
             doubles: Sequence[str] = ()) -> None:
-        """``doubles`` are compared to six digits, as the engines may add in another order."""
+        """``doubles`` are compared to nine decimals, as the engines may add in another order."""
         def complete(spark: SparkSession, sf_dir: str) -> DataFrame:
             return rounded(run(configure(spark), sf_dir), doubles)
 

@@ -73,7 +73,7 @@ def numeric_columns(df: DataFrame, skip: Iterable[str] = ()) -> list[str]:
     ]
 
 
-def rounded(df: DataFrame, columns: Iterable[str], digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, columns: Iterable[str], digits: int = 9) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridelog.functions.skew import attach_per_group
 
-# Values are cut into CELLS parts of about equal size, found in two steps of BLOCK bounds.
-BLOCK = 32
-CELLS = BLOCK * BLOCK
+# Values are cut into CELLS parts of about equal size.
+CELL_BITS = 10
+CELLS = 1 << CELL_BITS
 
 # Rank error of the approximate quantiles, and how far around one its exact value is sought.
 ACCURACY = 10_000
@@ -40,18 +40,12 @@ def running_totals(df: DataFrame, by: Sequence[str], value: str,
     bounds = df.groupBy(*by).agg(
         F.expr(f"percentile_approx(`{value}`, array({shares}), {ACCURACY})").alias("_bounds")
     )
-    every_block = F.sequence(F.lit(BLOCK), F.lit(CELLS - 1), F.lit(BLOCK))
-    bounds = bounds.withColumn(
-        "_outer", F.transform(every_block, lambda i: F.element_at("_bounds", i))
-    )
-
-    def below(array: Column) -> Column:
-        return F.size(F.filter(array, lambda bound: bound < F.col(value)))
-
-    block = below(F.col("_outer"))
-    inner = below(F.slice("_bounds", block * BLOCK + 1, F.lit(BLOCK - 1)))
+    # A value's cell is the number of bounds below it, found by halving.
+    steps = F.array(*[F.lit(CELLS >> i) for i in range(1, CELL_BITS + 1)])
+    cell = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+        F.element_at("_bounds", at + step) < F.col(value), step).otherwise(F.lit(0)))
     placed = attach_per_group(df, bounds, by, value).select(
-        *df.columns, (block * BLOCK + inner).alias("_cell")
+        *df.columns, cell.alias("_cell")
     )
     cells = placed.groupBy(*by, "_cell").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     higher = Window.partitionBy(*by).orderBy(F.desc("_cell")).rowsBetween(

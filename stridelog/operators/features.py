@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from stridelog.config import (
     ACCELERATION_LIMIT, CORE_EVENTS, CUTOFF, DEPTH, ENGAGEMENT, EVENT, FEATURES, FRICTION,
-    FRICTION_EVENTS, LABEL, RECENCY, SOCIAL, SOCIAL_EVENTS, SPLIT, TENURE_EVENT, TS, USER,
-    VELOCITY,
+    FRICTION_EVENTS, RECENCY, SOCIAL, SOCIAL_EVENTS, TENURE_EVENT, TS, USER, VELOCITY,
 )
 from stridelog.functions.columns import (
     clipped_at_zero, day_of, flag, frac_days, is_known_in, safe_ratio,
@@ -237,11 +236,3 @@ def account_ages(events: DataFrame) -> DataFrame:
         F.datediff(day_of(CUTOFF), day_of("first_tenure_ts")).cast("long")
         .alias("account_age_days"),
     )
-
-
-def feature_columns(feature_store: DataFrame) -> list[str]:
-    """The features a table holds, in the store's order."""
-    return [c for c in FEATURES if c in feature_store.columns]
-
-
-KEY_COLUMNS = (USER, LABEL, CUTOFF, SPLIT)

@@ -6,7 +6,6 @@ from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -53,9 +52,3 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
-
-
-def json_lines(df: DataFrame, key: str) -> DataFrame:
-    """Each row as one JSON text next to its key."""
-    body = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
-    return df.select(key, body.alias("json"))
