@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelog.llm import line_dedup, mixing, quality
+from stridelog.llm import bpe, line_dedup, mixing, quality
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
 
@@ -84,10 +84,25 @@ def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_report(_documents(spark, sf_dir))
 
 
+def word_vocabulary() -> str:
+    """The place of the vocabulary file that the registered query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(_documents(spark, sf_dir), word_vocabulary(), keep=["doc_id"]).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_repetition_rules": op8_repetition_rules,
+    "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
