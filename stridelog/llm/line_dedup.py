@@ -10,7 +10,8 @@ from stridelog.llm.common import hash128, text_of
 SPACES = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _KEY, _DOC = ["_h1", "_h2"], ["_d1", "_d2"]
-WORD = 64  # lines per word of a bitmap
+WORD = 64    # lines per word of a bitmap
+PIECES = 32  # parts in which the lines of one key are joined
 
 
 def line_key(line: Column) -> Column:
@@ -56,8 +57,11 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         firsts.groupBy(*_KEY).agg(F.count("_first").alias("_docs"))
         .where(F.col("_docs") >= min_docs).select(*_KEY)
     )
+    # A frequent key meets its lines in pieces, as its lines may be a third of all.
+    pieces = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("_piece")
     words = (
-        ranged.join(frequent, _KEY)
+        ranged.withColumn("_piece", F.pmod("_d1", F.lit(PIECES)).cast("int"))
+        .join(frequent.select(*_KEY, pieces), [*_KEY, "_piece"])
         .groupBy(*_DOC, F.floor(F.col("pos") / WORD).cast("int").alias("_word"))
         .agg(F.bit_or(_shift("shiftleft", F.lit(1).cast("long"), F.col("pos") % WORD)).alias("_bits"))
     )

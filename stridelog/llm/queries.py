@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelog.llm import bpe, line_dedup, mixing, quality
+from stridelog.llm import bpe, line_dedup, mixing, near_dedup, quality
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
 
@@ -84,6 +84,11 @@ def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_report(_documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return near_dedup.near_duplicate_classes(docs)
+
+
 def word_vocabulary() -> str:
     """The place of the vocabulary file that the registered query uses."""
     import public_tokenizers
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_repetition_rules": op8_repetition_rules,
+    "op9_near_dedup": op9_near_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 ORACLE_SQL: dict[str, str] = {
