@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stridelog.llm.common import text_of, written
 
 DIGITS = 13           # hex digits of a digest taken as a uniform number below 1
-SOURCES_BROADCAST = 50_000
+STEPS_BROADCAST = 1_000_000  # probabilities of all sources together, of eight bytes each
 
 
 def uniform(seed: str, *cols: Column) -> Column:
@@ -44,13 +44,18 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None,
         F.coalesce(rate, F.lit(0.0)).alias("_rate"))
 
 
+def _most(rate: Column) -> Column:
+    """A count that a Poisson distribution of this mean does not exceed, to double precision."""
+    return F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
+
+
 def poisson_steps(rate: Column) -> Column:
     """P(count <= 0), P(count <= 1), ... of a Poisson distribution, up to where 1 is reached.
 
     Each probability follows from the one before in logarithms, so large rates do not
     underflow; twelve standard deviations beyond the mean no double is left below 1.
     """
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
+    last = _most(rate)
     safe = F.greatest(rate, F.lit(1e-300))
     start = F.struct(F.array(F.exp(-rate)).alias("steps"), (-rate).alias("log"),
                      F.exp(-rate).alias("sum"))
@@ -75,9 +80,10 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None,
     the global order: rows are dealt over partitions by it and sorted within each. Repeated
     rows have the same id and so the same count, and are told apart by nothing else.
     """
-    rates = written(source_rates(docs, weights, exponent, source_col, text_col), "rates").select(
-        "_source", "_rate", poisson_steps(F.col("_rate")).alias("_steps"))
-    if rates.count() <= SOURCES_BROADCAST:  # beyond it sources are shuffled like any join
+    rates = written(source_rates(docs, weights, exponent, source_col, text_col), "rates")
+    size = rates.agg(F.sum(_most(F.col("_rate"))).alias("n")).first()["n"] or 0
+    rates = rates.select("_source", "_rate", poisson_steps(F.col("_rate")).alias("_steps"))
+    if size <= STEPS_BROADCAST:  # beyond it sources are shuffled like any join
         rates = F.broadcast(rates)
     drawn = uniform(f"{seed}-count", F.col(id_col), F.col(source_col))
     counted = docs.join(rates, F.col(source_col).eqNullSafe(F.col("_source"))).withColumn(

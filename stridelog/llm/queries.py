@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelog.llm import bpe, line_dedup, mixing, near_dedup, quality
+from stridelog.llm import bpe, line_dedup, mixing, near_dedup, quality, sharding
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
 
@@ -16,6 +16,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(prepare(configure(spark)), sf_dir, "documents")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return sharding.assign_shards(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return line_dedup.with_kept_lines(docs).select(
@@ -104,6 +111,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op4_line_dedup": op4_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_repetition_rules": op8_repetition_rules,
