@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelog.llm import bpe, line_dedup, mixing, near_dedup, quality, sharding
+from stridelog.llm import bpe, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
 
@@ -16,6 +16,34 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(prepare(configure(spark)), sf_dir, "documents")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM words WHERE len(ws) >= 35)
+), repeated AS (
+  SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + unnest(range(0, 35)) AS i
+  FROM windows SEMI JOIN repeated USING (w)
+), each AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM words
+), kept AS (
+  SELECT e.doc_id, count(*) AS n_kept, string_agg(e.word, ' ' ORDER BY e.i) AS text
+  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return sharding.assign_shards(docs).select(
@@ -111,6 +139,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op4_line_dedup": op4_line_dedup,
     "op7_mixing": op7_mixing,
@@ -119,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
     "op4_line_dedup": OP4_SQL,
     "op7_mixing": OP7_SQL,
 }
