@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelog.llm import bpe, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup
+from stridelog.llm import (
+    bpe, html_extract, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup,
+)
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
 
@@ -79,6 +81,13 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(prepare(configure(spark)), sf_dir, "pages")
+    return html_extract.extract(pages, keep=["page_id", "url"]).select(
+        "page_id", "url", F.col("main_text").alias("text"),
+        F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(_documents(spark, sf_dir)).select(
         "doc_id", F.col("_copy").alias("copy"), "source", "lang", "n_chars", "text",
@@ -142,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op7_mixing": op7_mixing,
     "op8_repetition_rules": op8_repetition_rules,
     "op9_near_dedup": op9_near_dedup,
