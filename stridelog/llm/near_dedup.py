@@ -38,7 +38,7 @@ class NearDedupConfig:
     threshold: float = 0.8
     bands: int = 14
     rows: int = 4
-    small_bucket: int = 24
+    small_bucket: int = 128
     word_slots: int = 1 << 16
 
     @property
@@ -219,12 +219,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
 
 
 def _plausible(pairs: DataFrame, sketches: DataFrame, config: NearDedupConfig) -> DataFrame:
-    """Pairs that share at least half of their samples.
+    """Pairs that share at least half as many samples as a pair at the threshold does on average.
 
-    At the threshold the mean share is the threshold itself; a pair at 0.8 has fewer than
-    28 of 56 equal samples with a chance below 1e-6.
+    Of 56 samples a pair at 0.8 has fewer than 23 equal with a chance below 1e-8. One at 0.6,
+    as far from a leader as matters, has so few with a chance of about 0.001.
     """
-    size, least = config.samples, config.samples / 2
+    size, least = config.samples, config.samples * config.threshold / 2
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -289,33 +289,36 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     reach = 1 - config.threshold
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    links = None
-    labels = spark.createDataFrame([], "node LONG, label LONG")
+    links = spark.createDataFrame([], "a LONG, b LONG")
     while True:
         pairs, large = _candidates(members, config.small_bucket)
         found = written(_near(pairs, sketches, texts, idf, config), "pairs")
-        links, labels = _joined(links, found, config)
+        links = links.union(_linked(found, config))
         if large.isEmpty():
             break
         # Where each member of a large bucket stands: its distance from the leader, if near.
+        labels = connected_components(links)
         distance = found.select(F.col("a").alias("leader"), F.col("b").alias("node"),
                                 (1 - F.col("similarity")).alias("d"))
-        named = labels.select(F.col("node").alias("leader"), F.col("label").alias("top"))
+        tops = labels.select(F.col("node").alias("leader"), F.col("label").alias("top"))
         stand = written(
             large.join(distance, ["leader", "node"], "left")
-            .join(labels, "node", "left").join(named, "leader", "left"), "leaders")
+            .join(labels, "node", "left").join(tops, "leader", "left"), "leaders")
         open_ = stand.where(F.col("d").isNull() | (F.col("d") > reach))
         between = open_.where((F.col("d") <= 2 * reach) & (
             ~F.col("label").eqNullSafe(F.col("top"))))
-        if not between.isEmpty():
-            inner = stand.where(F.col("d") <= reach).select(
-                "bucket", F.col("node").alias("x"), F.col("d").alias("dx"))
-            across = between.select("bucket", F.col("node").alias("y"), F.col("d").alias("dy")).join(
-                inner, "bucket").where(F.col("dx") >= F.col("dy") - reach).select(
-                F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        inner = stand.where(F.col("d") <= reach).select(
+            "bucket", F.col("node").alias("x"), F.col("d").alias("dx"))
+        across = written(
+            between.select("bucket", F.col("node").alias("y"), F.col("d").alias("dy"))
+            .join(inner, "bucket").where(F.col("dx") >= F.col("dy") - reach)
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+            "across")
+        if not across.isEmpty():
             more = written(_near(across, sketches, texts, idf, config), "pairs")
-            links, labels = _joined(links, more, config)
+            links = links.union(_linked(more, config))
         members = open_.select("bucket", "node").distinct()
+    labels = connected_components(links)
 
     nodes = sketches.select("h1", "h2", "node").join(labels, "node", "left").select(
         "h1", "h2", F.coalesce("label", "node").alias("class"))
@@ -334,12 +337,8 @@ def _near(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, idf: Broadcas
     return _verified(likely, used, idf, config)
 
 
-def _joined(links: DataFrame | None, found: DataFrame,
-            config: NearDedupConfig) -> tuple[DataFrame, DataFrame]:
-    """All links so far and the components that they make."""
-    new = found.where(F.col("similarity") >= config.threshold - ROUNDING).select("a", "b")
-    links = new if links is None else links.union(new)
-    return links, connected_components(links)
+def _linked(found: DataFrame, config: NearDedupConfig) -> DataFrame:
+    return found.where(F.col("similarity") >= config.threshold - ROUNDING).select("a", "b")
 
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
