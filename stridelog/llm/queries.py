@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelog.llm import (
-    bpe, html_extract, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup,
+    bpe, html_extract, license_scan, line_dedup, mixing, near_dedup, neighbours, quality,
+    sharding, substring_dedup,
 )
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
@@ -53,6 +54,53 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_documents(spark, sf_dir)).withColumn(
+        "score", F.round("score", 9))
+
+
+_WORDS = (r"list_filter(string_split(regexp_replace(lower({}), '[^a-z0-9\x{{80}}-\x{{10FFFF}}]+', "
+          "' ', 'g'), ' '), lambda w: w <> '')")
+_BIGRAMS = ("list_distinct(list_transform(range(1, len({0})), "
+            "lambda i: ({0})[i] || ' ' || ({0})[i + 1]))")
+
+
+def _op3_sql() -> str:
+    wordings = ", ".join("('{}', '{}')".format(name, text.replace("'", "''"))
+                         for name, text in license_scan.TEMPLATES)
+    return f"""
+WITH wordings AS (
+  SELECT license, {_BIGRAMS.format("ws")} AS bigrams
+  FROM (SELECT license, {_WORDS.format("wording")} AS ws
+        FROM (VALUES {wordings}) AS v(license, wording))
+), lines AS (
+  SELECT doc_id, i, {_WORDS.format("line")} AS ws
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+), filled AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS paragraph
+  FROM lines WHERE len(ws) > 0
+), parts AS (
+  SELECT doc_id, ws FROM filled
+  UNION ALL
+  SELECT doc_id, flatten(list(ws ORDER BY i)) FROM filled
+  GROUP BY doc_id, paragraph HAVING count(*) > 1
+  UNION ALL
+  SELECT doc_id, flatten(list(ws ORDER BY i)) FROM filled
+  GROUP BY doc_id HAVING count(DISTINCT paragraph) > 1
+), sized AS (
+  SELECT doc_id, {_BIGRAMS.format("ws")} AS bigrams FROM parts WHERE len(ws) > 1
+), scored AS (
+  SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(s.bigrams, w.bigrams))
+                          / (len(s.bigrams) + len(w.bigrams)) AS score
+  FROM sized s JOIN wordings w
+    ON 2 * least(len(s.bigrams), len(w.bigrams)) >= 0.8 * (len(s.bigrams) + len(w.bigrams))
+)
+SELECT doc_id, license, round(max(score), 9) AS score, count(*) AS n_parts
+FROM scored WHERE score >= 0.8 GROUP BY doc_id, license
+"""
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return line_dedup.with_kept_lines(docs).select(
@@ -88,6 +136,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("main_text").cast("long").alias("n_chars"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(configure(spark)), sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(_documents(spark, sf_dir)).select(
         "doc_id", F.col("_copy").alias("copy"), "source", "lang", "n_chars", "text",
@@ -150,8 +203,10 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
+    "op3_license_scan": op3_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_html_extraction": op5_html_extraction,
+    "op6_neighbours": op6_neighbours,
     "op7_mixing": op7_mixing,
     "op8_repetition_rules": op8_repetition_rules,
     "op9_near_dedup": op9_near_dedup,
@@ -159,6 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op3_license_scan": _op3_sql(),
     "op4_line_dedup": OP4_SQL,
     "op7_mixing": OP7_SQL,
 }
