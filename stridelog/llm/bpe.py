@@ -222,14 +222,16 @@ def read_vocabulary(path: str) -> WordBpe:
 
 def encode_decode(docs: DataFrame, path: str, text_col: str = "text",
                   keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (default: all but the text), ``ids`` and ``decoded``.
+    """Columns ``keep`` of ``docs`` (default: all but the text and the added names), ``ids`` and
+    ``decoded``.
 
     ``ids`` is binary: the token ids as little-endian unsigned 32-bit integers, with no token
     added. ``decoded`` is made from the ids again. A null or empty text gives no ids and the
     empty text. Rows are handled one by one, so repeated rows give repeated results. ``path``
     is a vocabulary file that the driver can read.
     """
-    kept = [c for c in docs.columns if c != text_col] if keep is None else keep
+    added = (text_col, "ids", "decoded")
+    kept = [c for c in docs.columns if c not in added] if keep is None else keep
     bpe = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -266,12 +266,13 @@ def main_text(source: str) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` of ``pages`` (default: all but the html) and ``main_text``.
+    """Columns ``keep`` of ``pages`` (default: all but the html and that name) and ``main_text``.
 
     A null or empty page, or one without text, gives the empty text. Pages are handled one by
     one, whole, so repeated rows give repeated results and nulls elsewhere stay as they are.
     """
-    kept = [c for c in pages.columns if c != html_col] if keep is None else keep
+    added = (html_col, "main_text")
+    kept = [c for c in pages.columns if c not in added] if keep is None else keep
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

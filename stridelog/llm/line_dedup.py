@@ -82,22 +82,24 @@ def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` with ``_n_lines``, ``_n_dropped`` and ``_kept``, the text without dropped lines.
 
-    A null or empty text is one empty line. All rows and columns of ``docs`` stay; repeated
-    rows give repeated results. A document whose lines are all dropped keeps the empty text.
+    A null or empty text is one empty line. All rows and columns of ``docs`` stay, but columns
+    with the names of the added ones give way; repeated rows give repeated results. A document whose lines are all dropped keeps the empty text.
     """
     bitmaps = drop_bitmaps(docs, id_col, text_col, min_docs, min_chars)
-    d1, d2 = _doc_key(id_col, text_col)
-    lines = F.split(text_of(text_col), "\n", -1)
+    added = ("_n_lines", "_n_dropped", "_kept")
+    others = F.struct(*[c for c in docs.columns if c not in added]).alias("_row")
+    text, lines = F.col("_text"), F.split("_text", "\n", -1)
     n_dropped = F.aggregate(
         F.map_values("dropped"), F.lit(0), lambda n, bits: n + F.bit_count(bits))
+    kept = F.array_join(F.filter(lines, lambda _, i: ~_is_dropped(i)), "\n")
     return (
-        docs.select("*", d1, d2).join(bitmaps, _DOC, "left")
+        docs.select(others, text_of(text_col).alias("_text"), *_doc_key(id_col, text_col))
+        .join(bitmaps, _DOC, "left")
         .select(
-            *docs.columns,
+            "_row",
             F.size(lines).cast("long").alias("_n_lines"),
             F.coalesce(n_dropped, F.lit(0)).cast("long").alias("_n_dropped"),
-            F.when(F.col("dropped").isNull(), text_of(text_col)).otherwise(
-                F.array_join(F.filter(lines, lambda _, i: ~_is_dropped(i)), "\n")
-            ).alias("_kept"),
+            F.when(F.col("dropped").isNull(), text).otherwise(kept).alias("_kept"),
         )
+        .select("_row.*", *added)
     )

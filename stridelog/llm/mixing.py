@@ -37,11 +37,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None,
         share = F.coalesce(*named, F.lit(0.0))
     shared = sizes.withColumn("_share", F.when(F.col("_bytes") > 0, share).otherwise(F.lit(0.0)))
     total = shared.agg(F.sum("_bytes").alias("_all"), F.sum("_share").alias("_shares"))
-    rate = F.when((F.col("_bytes") > 0) & (F.col("_shares") > 0),
-                  F.col("_share") / F.col("_shares") * F.col("_all") / F.col("_bytes"))
+    weight = F.col("_share") / F.nullif(F.col("_shares"), F.lit(0.0))
+    rate = F.coalesce(weight * F.col("_all") / F.nullif(F.col("_bytes"), F.lit(0)), F.lit(0.0))
     return shared.crossJoin(F.broadcast(total)).select(
-        "_source", "_bytes", (F.col("_share") / F.col("_shares")).alias("_weight"),
-        F.coalesce(rate, F.lit(0.0)).alias("_rate"))
+        "_source", "_bytes", weight.alias("_weight"), rate.alias("_rate"))
 
 
 def _most(rate: Column) -> Column:
@@ -78,23 +77,27 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None,
     the hash of seed, id and source: any run on any cluster gives the same copies. ``_copy``
     numbers the copies from 0, ``_rate`` is the source's rate, and ``_place`` in [0, 1) gives
     the global order: rows are dealt over partitions by it and sorted within each. Repeated
-    rows have the same id and so the same count, and are told apart by nothing else.
+    rows have the same id and so the same count, and are told apart by nothing else. Columns of
+    ``docs`` with the names of the added ones give way. Null ids and sources are values like others.
     """
     rates = written(source_rates(docs, weights, exponent, source_col, text_col), "rates")
     size = rates.agg(F.sum(_most(F.col("_rate"))).alias("n")).first()["n"] or 0
     rates = rates.select("_source", "_rate", poisson_steps(F.col("_rate")).alias("_steps"))
     if size <= STEPS_BROADCAST:  # beyond it sources are shuffled like any join
         rates = F.broadcast(rates)
-    drawn = uniform(f"{seed}-count", F.col(id_col), F.col(source_col))
-    counted = docs.join(rates, F.col(source_col).eqNullSafe(F.col("_source"))).withColumn(
-        "_u", drawn)
+    added = ("_copy", "_rate", "_place")
+    others = F.struct(*[c for c in docs.columns if c not in added]).alias("_row")
+    keys = F.col(id_col).alias("_id"), F.col(source_col).alias("_from")
+    counted = docs.select(others, *keys).join(
+        rates, F.col("_from").eqNullSafe(F.col("_source"))).withColumn(
+        "_u", uniform(f"{seed}-count", F.col("_id"), F.col("_from")))
     copies = F.size(F.filter("_steps", lambda p: p <= F.col("_u")))
     repeated = (
         counted.withColumn("_n", copies).where(F.col("_n") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     )
-    place = uniform(f"{seed}-order", F.col(id_col), F.col(source_col), F.col("_copy"))
+    place = uniform(f"{seed}-order", F.col("_id"), F.col("_from"), F.col("_copy"))
     return (
-        repeated.select(*docs.columns, "_copy", "_rate", place.alias("_place"))
-        .repartition("_place").sortWithinPartitions("_place")
+        repeated.select("_row", "_copy", "_rate", place.alias("_place"))
+        .repartition("_place").sortWithinPartitions("_place").select("_row.*", *added)
     )

@@ -94,8 +94,9 @@ def _index(phrases: DataFrame) -> DataFrame:
     a recurring one that has single ones beside it, in one document (``rep``)."""
     kinds = phrases.groupBy("a", "p").agg(
         F.count(F.lit(1)).alias("n"), F.min("d1").alias("rep"))
+    # Asking for ``rep`` here too lets both uses of ``kinds`` read one exchange.
     anchors = kinds.groupBy("a").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"), F.min("n").alias("least"))
+        F.count("rep").alias("kinds"), F.sum("n").alias("all"), F.min("n").alias("least"))
     return kinds.join(anchors.where("all > 1"), "a").select(
         "a", "p", "rep", (F.col("n") > 1).alias("whole"),
         ((F.col("kinds") > 1) & (F.col("least") == 1)).alias("open"))
