@@ -2,7 +2,7 @@
 
 Vectors are dealt into blocks, and each block keeps one sorted array per random projection. A
 query opens a window around its own projection in every array and widens all windows step by
-step (virtual rehashing: a window at radius R is a hash bucket of width R centred on the query).
+step (virtual rehashing: a window at radius R is a hash bucket of that size centred on the query).
 A vector inside enough windows, the collision threshold, is verified by its true distance. The
 search ends when the wanted number of verified vectors lies within the radius.
 """
@@ -29,7 +29,7 @@ class SearchConfig:
     projections: int = 64
     width: float = 2.719
     collisions: float = 0.66
-    growth: float = 1.25
+    growth: float = 2.0
     block: int = 8192
     query_block: int = 4096
 
@@ -60,29 +60,35 @@ class _Block:
             (rows.shape[1], config.projections))
         self.config, self.drawn = config, drawn
         places = self.vectors @ drawn
-        self.order = np.argsort(places, axis=0).T
-        self.sorted = np.take_along_axis(places.T, self.order, axis=1)
-        spread = self.vectors - self.vectors.mean(axis=0)
-        self.unit = float(np.sqrt((spread ** 2).sum(axis=1).mean())) / 64 or 1e-6
+        order = np.argsort(places, axis=0)
+        # The sorted arrays stand one after the other, shifted apart, so that one search does all.
+        self.gap = 2 * float(np.ptp(places, axis=0).max()) or 1.0
+        self.shift = np.arange(config.projections) * self.gap - places.min(axis=0)
+        self.sorted = (np.take_along_axis(places, order, axis=0) + self.shift).T.ravel()
+        self.order = order.T.ravel()
 
     def nearest(self, query: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` nearest (distance, id) found, nearest first, equal distances by id."""
         config, size = self.config, len(self.vectors)
-        at = query @ self.drawn
+        arrays = np.arange(config.projections)
+        at = np.clip(query @ self.drawn + self.shift - arrays * self.gap,
+                     -self.gap / 4, self.gap * 3 / 4)  # windows do not reach the next array
         count = np.zeros(size, dtype=np.int64)
         least = int(np.ceil(config.collisions * config.projections))
-        left = np.array([np.searchsorted(s, x) for s, x in zip(self.sorted, at)])
-        right, radius = left.copy(), self.unit
+        first, last = arrays * size, (arrays + 1) * size
+        left = np.searchsorted(self.sorted, at + arrays * self.gap)
+        right, radius = left.copy(), self._first_radius(at + arrays * self.gap, left, k)
         pending = np.ones(size, dtype=bool)
         found: list[tuple[float, int]] = []
         while True:
             half = config.width * radius / 2
-            parts = []
-            for j in range(config.projections):
-                low = np.searchsorted(self.sorted[j], at[j] - half, side="left")
-                high = np.searchsorted(self.sorted[j], at[j] + half, side="right")
-                parts += [self.order[j, low:left[j]], self.order[j, right[j]:high]]
-                left[j], right[j] = min(low, left[j]), max(high, right[j])
+            low = np.searchsorted(self.sorted, at - half + arrays * self.gap, side="left")
+            high = np.searchsorted(self.sorted, at + half + arrays * self.gap, side="right")
+            low = np.minimum(np.maximum(low, first), left)
+            high = np.maximum(np.minimum(high, last), right)
+            parts = [self.order[a:b] for a, b in zip(low.tolist(), left.tolist())]
+            parts += [self.order[a:b] for a, b in zip(right.tolist(), high.tolist())]
+            left, right = low, high
             count += np.bincount(np.concatenate(parts), minlength=size)
             new = np.flatnonzero(pending & (count >= least))
             if len(new):
@@ -95,6 +101,14 @@ class _Block:
             if not pending.any() or (len(found) == k and found[-1][0] <= radius):
                 return found
             radius *= config.growth
+            if len(found) == k:
+                radius = min(radius, found[-1][0])  # no farther vector can be among the nearest
+
+    def _first_radius(self, at: np.ndarray, left: np.ndarray, k: int) -> float:
+        """A radius at which about half of the windows hold ``k`` vectors; fewer cannot do."""
+        near = np.clip(left[:, None] + np.arange(-k, k), 0, len(self.sorted) - 1)
+        far = np.partition(np.abs(self.sorted[near] - at[:, None]), k - 1, axis=1)[:, k - 1]
+        return 2 * float(np.median(far)) / self.config.width or 1e-6
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
