@@ -47,6 +47,7 @@ class NearDedupConfig:
 
 
 ROUNDING = 1e-9        # by which sums of weights may fall short of the threshold
+WHOLE = 1 << 62        # a limit of bytes that no batch reaches
 _LEVELS = 14           # bits of a shingle's hash that pick its random numbers, per sample
 _FEATURE_BITS = 44     # bits of a shingle's hash kept; the rest holds the text's number
 
@@ -196,26 +197,63 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, idf: Broadcast,
         run, "id LONG, h1 LONG, h2 LONG, samples BINARY")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a``, ``b`` and both texts. Only texts of nodes in some pair are exchanged."""
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
+    used = written(
+        texts.join(broadcast_if_small(wanted), "node").dropDuplicates(["node"]), "texts")
+    left = used.select(F.col("node").alias("a"), F.col("text").alias("left"))
+    right = used.select(F.col("node").alias("b"), F.col("text").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
               config: NearDedupConfig) -> DataFrame:
-    """``a``, ``b`` and their similarity, for pairs of nodes; texts are of nodes in some pair."""
+    """``a``, ``b`` and their ``similarity``."""
     n = config.shingle
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for first, end, left in batches(part.column(2)):
-                for f, e, right in batches(part.column(3).slice(first, end - first), 1 << 40):
-                    found = similarity(features(left, idf.value, n),
-                                       features(right, idf.value, n), e - f)
+                (_, _, right), = batches(part.column(3).slice(first, end - first), WHOLE)
+                found = similarity(features(left, idf.value, n), features(right, idf.value, n),
+                                   end - first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).slice(first, end - first),
-                     part.column(1).slice(first, end - first), pa.array(found)],
+                    [*(c.slice(first, end - first) for c in part.columns[:2]), pa.array(found)],
                     ["a", "b", "similarity"])
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
-        run, "a LONG, b LONG, similarity DOUBLE")
+    return _with_texts(pairs, texts).mapInArrow(run, "a LONG, b LONG, similarity DOUBLE")
+
+
+def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
+             config: NearDedupConfig) -> DataFrame:
+    """How ``b`` stands to ``a``: similarity, ``own`` weight, weight ``shared`` with ``a``, and
+    the shingles (``novel``) that weigh more in ``b`` than in ``a``."""
+    n = config.shingle
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for first, end, batch in batches(part.column(2)):
+                (_, _, other), = batches(part.column(3).slice(first, end - first), WHOLE)
+                rows = end - first
+                left, right = features(batch, idf.value, n), features(other, idf.value, n)
+                _, i, j = np.intersect1d(
+                    left.key, right.key, assume_unique=True, return_indices=True)
+                novel = np.ones(len(right.key), dtype=bool)
+                novel[j] = right.weight[j] > left.weight[i] * (1 + ROUNDING)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(right.row[novel], minlength=rows))])
+                names = (right.key[novel] & np.uint64((1 << _FEATURE_BITS) - 1)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    *(c.slice(first, rows) for c in part.columns[:2]),
+                    pa.array(similarity(left, right, rows)),
+                    pa.array(np.bincount(right.row, right.weight, rows)),
+                    pa.array(np.bincount(right.row[j], np.minimum(
+                        left.weight[i], right.weight[j]), rows)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(names)),
+                ], ["a", "b", "similarity", "own", "shared", "novel"])
+
+    return _with_texts(pairs, texts).mapInArrow(
+        run, "a LONG, b LONG, similarity DOUBLE, own DOUBLE, shared DOUBLE, novel ARRAY<LONG>")
 
 
 def _plausible(pairs: DataFrame, sketches: DataFrame, config: NearDedupConfig) -> DataFrame:
@@ -241,20 +279,22 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, config: NearDedupConfig) -
 
 
 def _candidates(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each bucket: all if it is small, else its leader with every other member.
+    """Pairs of each bucket with different labels: all if it is small, else its leader, the
+    least node, with every other member. Buckets of one label have nothing to tell.
 
     Also gives the members of large buckets with their leader.
     """
     sizes = written(members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1"), "sizes")
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("leader"),
+        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high"), "sizes")
     placed = written(members.join(sizes, "bucket"), "buckets")
-    few = placed.where(F.col("n") <= small).select("bucket", "node")
-    within = few.select("bucket", F.col("node").alias("a")).join(
-        few.select("bucket", F.col("node").alias("b")), "bucket").where("a < b")
-    large = placed.where((F.col("n") > small) & (F.col("node") > F.col("leader")))
-    led = large.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    return within.select("a", "b").union(led).distinct(), large.select(
-        "bucket", "leader", "node")
+    few = placed.where(F.col("n") <= small)
+    within = few.select("bucket", F.col("node").alias("a"), F.col("label").alias("x")).join(
+        few.select("bucket", F.col("node").alias("b"), F.col("label").alias("y")), "bucket"
+    ).where("a < b AND x <> y")
+    large = placed.where(F.col("n") > small).select("leader", "node").distinct()
+    led = large.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    return within.select("a", "b").union(led).distinct(), large
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -268,10 +308,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     documents with its words, if there are any, and in none (null) otherwise.
 
     Large buckets, such as a family of copies that holds a third of the corpus, are never paired
-    out. Their members are compared with a leader. One minus the similarity is a metric, so a
-    member at distance over 0.4 from the leader has no link to those within 0.2 of it: such
-    members go on as a bucket of their own. Members in between that nothing has linked to the
-    leader are compared with those that the same bound leaves open.
+    out. Their members are compared with a leader; those linked through it need nothing more.
+    What else may be linked is told apart by how members stand to a pivot of the family, see
+    ``_left_open``.
     """
     config = config or NearDedupConfig()
     spark = docs.sparkSession
@@ -285,40 +324,30 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     width = 4 * config.rows
     bands = [F.xxhash64(F.lit(i), F.substring("samples", 1 + i * width, width))
              for i in range(config.bands)]
-    members = sketches.select(F.explode(F.array(*bands)).alias("bucket"), "node")
+    members = sketches.select(
+        F.explode(F.array(*bands)).alias("bucket"), "node", F.col("node").alias("label"))
 
-    reach = 1 - config.threshold
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    links = spark.createDataFrame([], "a LONG, b LONG")
+    links = more = spark.createDataFrame([], "a LONG, b LONG")
+    first = True
     while True:
         pairs, large = _candidates(members, config.small_bucket)
-        found = written(_near(pairs, sketches, texts, idf, config), "pairs")
-        links = links.union(_linked(found, config))
+        likely = written(_plausible(pairs.union(more), sketches, config), "likely")
+        links = links.union(_linked(written(_compared(likely, texts, idf, config), "pairs"), config))
+        labels = connected_components(links)
         if large.isEmpty():
             break
-        # Where each member of a large bucket stands: its distance from the leader, if near.
-        labels = connected_components(links)
-        distance = found.select(F.col("a").alias("leader"), F.col("b").alias("node"),
-                                (1 - F.col("similarity")).alias("d"))
-        tops = labels.select(F.col("node").alias("leader"), F.col("label").alias("top"))
-        stand = written(
-            large.join(distance, ["leader", "node"], "left")
-            .join(labels, "node", "left").join(tops, "leader", "left"), "leaders")
-        open_ = stand.where(F.col("d").isNull() | (F.col("d") > reach))
-        between = open_.where((F.col("d") <= 2 * reach) & (
-            ~F.col("label").eqNullSafe(F.col("top"))))
-        inner = stand.where(F.col("d") <= reach).select(
-            "bucket", F.col("node").alias("x"), F.col("d").alias("dx"))
-        across = written(
-            between.select("bucket", F.col("node").alias("y"), F.col("d").alias("dy"))
-            .join(inner, "bucket").where(F.col("dx") >= F.col("dy") - reach)
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
-            "across")
-        if not across.isEmpty():
-            more = written(_near(across, sketches, texts, idf, config), "pairs")
-            links = links.union(_linked(more, config))
-        members = open_.select("bucket", "node").distinct()
-    labels = connected_components(links)
+        # At first the buckets of a family share its least node as pivot. Later the leader is
+        # the pivot, so that the shingle that made the bucket is not novel any more.
+        pivots = large.join(
+            labels.select(F.col("node").alias("leader"), "label"), "leader", "left"
+        ).select(F.coalesce("label", "leader").alias("a"), F.col("node").alias("b")) if first \
+            else large.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        related = written(_related(
+            written(pivots.where("a < b").distinct(), "pivots"), texts, idf, config), "related")
+        links = links.union(_linked(related, config))
+        more, members = _left_open(related, labels, config)
+        first = False
 
     nodes = sketches.select("h1", "h2", "node").join(labels, "node", "left").select(
         "h1", "h2", F.coalesce("label", "node").alias("class"))
@@ -327,14 +356,42 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.coalesce("class", "id").alias("class_id"))
 
 
-def _near(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, idf: Broadcast,
-          config: NearDedupConfig) -> DataFrame:
-    """Verified similarities of pairs whose samples make a link possible."""
-    likely = written(_plausible(pairs, sketches, config), "likely")
-    wanted = written(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
-    used = written(
-        texts.join(broadcast_if_small(wanted), "node").dropDuplicates(["node"]), "texts")
-    return _verified(likely, used, idf, config)
+def _left_open(related: DataFrame, labels: DataFrame,
+               config: NearDedupConfig) -> tuple[DataFrame, DataFrame]:
+    """Which members of a family may still be linked: pairs, and buckets for the next round.
+
+    Let t be the threshold. Two members that share no novel shingle share at most what the
+    lesser of them shares with the pivot. So for a link the weights of both must be at most
+    (1 + t) / t times that, less the weight of the other: the ``slack``. Members close to the
+    pivot and heavier than the slack of those outside are ruled out at once. The others are met
+    by weight, in steps of five per cent. Members that do share a novel shingle meet in a bucket
+    of their own. Neither is needed within one component.
+    """
+    t, step = config.threshold - ROUNDING, 0.05
+    top = labels.select(F.col("node").alias("a"), F.col("label").alias("top"))
+    own = labels.select(F.col("node").alias("b"), F.col("label").alias("named"))
+    near = F.col("similarity") >= t
+    placed = written(related.join(top, "a", "left").join(own, "b", "left").select(
+        "a", "b", "own", "novel",
+        ((1 + t) / t * F.col("shared") * (1 + ROUNDING) - F.col("own")).alias("slack"),
+        F.coalesce("top", "a").alias("top"),
+        F.when(near, F.coalesce("top", "a")).otherwise(F.coalesce("named", "b")).alias("label"),
+    ), "placed")
+
+    place = F.floor(F.log(F.col("own")) / step)
+    low, high = F.col("own") * t, F.least(F.col("slack"), F.col("own") / t)
+    outside = placed.where((F.col("label") != F.col("top")) & (low <= high)).select(
+        "a", "own", "slack", "label", "b", F.explode(F.sequence(
+            F.floor(F.log(low) / step), F.floor(F.log(high) / step))).alias("place"))
+    inside = placed.select("a", place.alias("place"), F.col("b").alias("v"),
+                           F.col("own").alias("v_own"), F.col("slack").alias("v_slack"),
+                           F.col("label").alias("v_label"))
+    pairs = outside.join(inside, ["a", "place"]).where(
+        "label <> v_label AND v_own <= slack AND own <= v_slack").select(
+        F.least("b", "v").alias("a"), F.greatest("b", "v").alias("b")).distinct()
+    members = placed.select("a", F.explode("novel").alias("shingle"), "b", "label").select(
+        F.xxhash64("a", "shingle").alias("bucket"), F.col("b").alias("node"), "label")
+    return pairs, members
 
 
 def _linked(found: DataFrame, config: NearDedupConfig) -> DataFrame:
