@@ -38,7 +38,7 @@ class NearDedupConfig:
     threshold: float = 0.8
     bands: int = 14
     rows: int = 4
-    small_bucket: int = 128
+    small_bucket: int = 32
     word_slots: int = 1 << 16
 
     @property
@@ -227,8 +227,8 @@ def _compared(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
 
 def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
              config: NearDedupConfig) -> DataFrame:
-    """How ``b`` stands to ``a``: similarity, ``own`` weight, weight ``shared`` with ``a``, and
-    the shingles (``novel``) that weigh more in ``b`` than in ``a``."""
+    """How ``b`` stands to ``a``: its ``own`` weight, the weight ``shared`` with ``a``, and the
+    shingles that weigh more in ``b`` than in ``a`` (``novel``), with how much more."""
     n = config.shingle
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,21 +239,23 @@ def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
                 left, right = features(batch, idf.value, n), features(other, idf.value, n)
                 _, i, j = np.intersect1d(
                     left.key, right.key, assume_unique=True, return_indices=True)
-                novel = np.ones(len(right.key), dtype=bool)
-                novel[j] = right.weight[j] > left.weight[i] * (1 + ROUNDING)
+                more = right.weight.copy()
+                more[j] -= np.minimum(left.weight[i], right.weight[j])
+                novel = more > ROUNDING * right.weight
                 ends = np.concatenate([[0], np.cumsum(np.bincount(right.row[novel], minlength=rows))])
                 names = (right.key[novel] & np.uint64((1 << _FEATURE_BITS) - 1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     *(c.slice(first, rows) for c in part.columns[:2]),
-                    pa.array(similarity(left, right, rows)),
                     pa.array(np.bincount(right.row, right.weight, rows)),
                     pa.array(np.bincount(right.row[j], np.minimum(
                         left.weight[i], right.weight[j]), rows)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(names)),
-                ], ["a", "b", "similarity", "own", "shared", "novel"])
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                        [pa.array(names), pa.array(more[novel])], ["shingle", "more"])),
+                ], ["a", "b", "own", "shared", "novel"])
 
     return _with_texts(pairs, texts).mapInArrow(
-        run, "a LONG, b LONG, similarity DOUBLE, own DOUBLE, shared DOUBLE, novel ARRAY<LONG>")
+        run, "a LONG, b LONG, own DOUBLE, shared DOUBLE, "
+             "novel ARRAY<STRUCT<shingle: LONG, more: DOUBLE>>")
 
 
 def _plausible(pairs: DataFrame, sketches: DataFrame, config: NearDedupConfig) -> DataFrame:
@@ -279,19 +281,15 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, config: NearDedupConfig) -
 
 
 def _candidates(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each bucket with different labels: all if it is small, else its leader, the
-    least node, with every other member. Buckets of one label have nothing to tell.
-
-    Also gives the members of large buckets with their leader.
+    """Pairs of each bucket: all if it is small, else its leader, the least node, with every
+    other member. Also gives the members of large buckets with their leader.
     """
     sizes = written(members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("leader"),
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high"), "sizes")
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1"), "sizes")
     placed = written(members.join(sizes, "bucket"), "buckets")
     few = placed.where(F.col("n") <= small)
-    within = few.select("bucket", F.col("node").alias("a"), F.col("label").alias("x")).join(
-        few.select("bucket", F.col("node").alias("b"), F.col("label").alias("y")), "bucket"
-    ).where("a < b AND x <> y")
+    within = few.select("bucket", F.col("node").alias("a")).join(
+        few.select("bucket", F.col("node").alias("b")), "bucket").where("a < b")
     large = placed.where(F.col("n") > small).select("leader", "node").distinct()
     led = large.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     return within.select("a", "b").union(led).distinct(), large
@@ -308,9 +306,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     documents with its words, if there are any, and in none (null) otherwise.
 
     Large buckets, such as a family of copies that holds a third of the corpus, are never paired
-    out. Their members are compared with a leader; those linked through it need nothing more.
-    What else may be linked is told apart by how members stand to a pivot of the family, see
-    ``_left_open``.
+    out. Their members are compared with a leader and with the most central member of their
+    family; those linked through these need nothing more. What else may be linked is told by the
+    shingles in which members differ from the family, see ``_left_open``.
     """
     config = config or NearDedupConfig()
     spark = docs.sparkSession
@@ -325,29 +323,20 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     bands = [F.xxhash64(F.lit(i), F.substring("samples", 1 + i * width, width))
              for i in range(config.bands)]
     members = sketches.select(
-        F.explode(F.array(*bands)).alias("bucket"), "node", F.col("node").alias("label"))
+        F.explode(F.array(*bands)).alias("bucket"), "node")
 
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    links = more = spark.createDataFrame([], "a LONG, b LONG")
-    first = True
-    while True:
-        pairs, large = _candidates(members, config.small_bucket)
-        likely = written(_plausible(pairs.union(more), sketches, config), "likely")
-        links = links.union(_linked(written(_compared(likely, texts, idf, config), "pairs"), config))
+    search = _Search(sketches, texts, idf, config)
+    pairs, large = _candidates(members, config.small_bucket)
+    links = search.links(pairs)
+    labels = connected_components(links)
+    if not large.isEmpty():
+        family = _families(large, labels, search)
+        counts = _novel_counts(family, config)
+        links = links.union(search.links(_central_pairs(family, counts)))
+        links = links.union(search.links(_left_open(
+            family, counts, connected_components(links), config)))
         labels = connected_components(links)
-        if large.isEmpty():
-            break
-        # At first the buckets of a family share its least node as pivot. Later the leader is
-        # the pivot, so that the shingle that made the bucket is not novel any more.
-        pivots = large.join(
-            labels.select(F.col("node").alias("leader"), "label"), "leader", "left"
-        ).select(F.coalesce("label", "leader").alias("a"), F.col("node").alias("b")) if first \
-            else large.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        related = written(_related(
-            written(pivots.where("a < b").distinct(), "pivots"), texts, idf, config), "related")
-        links = links.union(_linked(related, config))
-        more, members = _left_open(related, labels, config)
-        first = False
 
     nodes = sketches.select("h1", "h2", "node").join(labels, "node", "left").select(
         "h1", "h2", F.coalesce("label", "node").alias("class"))
@@ -356,46 +345,113 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.coalesce("class", "id").alias("class_id"))
 
 
-def _left_open(related: DataFrame, labels: DataFrame,
-               config: NearDedupConfig) -> tuple[DataFrame, DataFrame]:
-    """Which members of a family may still be linked: pairs, and buckets for the next round.
+@dataclass
+class _Search:
+    """What it takes to look at pairs of nodes."""
+
+    sketches: DataFrame
+    texts: DataFrame
+    idf: Broadcast
+    config: NearDedupConfig
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar enough, seen by their samples first."""
+        likely = written(_plausible(pairs, self.sketches, self.config), "likely")
+        found = _compared(likely, self.texts, self.idf, self.config)
+        return written(found.where(
+            F.col("similarity") >= self.config.threshold - ROUNDING).select("a", "b"), "links")
+
+
+def _families(large: DataFrame, labels: DataFrame, search: _Search) -> DataFrame:
+    """The members of large buckets by family, each compared with the pivot of its family.
 
-    Let t be the threshold. Two members that share no novel shingle share at most what the
-    lesser of them shares with the pivot. So for a link the weights of both must be at most
-    (1 + t) / t times that, less the weight of the other: the ``slack``. Members close to the
-    pivot and heavier than the slack of those outside are ruled out at once. The others are met
-    by weight, in steps of five per cent. Members that do share a novel shingle meet in a bucket
-    of their own. Neither is needed within one component.
+    A family is made of the buckets in which most members are of the same component; the pivot
+    ``a`` is that component's least node.
+    """
+    named = labels.select("node", "label")
+    members = written(large.join(named, "node", "left").select(
+        "leader", "node", F.coalesce("label", "node").alias("label")), "members")
+    pivots = members.groupBy("leader", "label").agg(F.count(F.lit(1)).alias("n")).groupBy(
+        "leader").agg(F.max_by("label", F.struct("n", "label")).alias("a"))
+    pairs = members.join(written(pivots, "pivots"), "leader").select(
+        "a", F.col("node").alias("b")).distinct()
+    return written(_related(written(pairs, "family"), search.texts, search.idf, search.config),
+                   "related")
+
+
+def _novel(family: DataFrame) -> DataFrame:
+    return family.select("a", "b", F.explode("novel").alias("_n")).select(
+        "a", "b", F.col("_n.shingle").alias("shingle"), F.col("_n.more").alias("more"))
+
+
+def _novel_counts(family: DataFrame, config: NearDedupConfig) -> DataFrame:
+    """Shingles of a family that its pivot lacks and two members or more have; ``common`` if
+    they are more than a small bucket takes."""
+    return written(_novel(family).groupBy("a", "shingle").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "a", "shingle", (F.col("n") > config.small_bucket).alias("common")), "novel")
+
+
+def _with_common(family: DataFrame, counts: DataFrame) -> DataFrame:
+    """Adds to ``shared`` the weight that a member has in common shingles of its family."""
+    common = _novel(family).join(counts.where("common"), ["a", "shingle"]).groupBy("a", "b").agg(
+        F.sum("more").alias("common"))
+    return family.select("a", "b", "own", "shared").join(common, ["a", "b"], "left").select(
+        "a", "b", "own", (F.col("shared") + F.coalesce("common", F.lit(0.0))).alias("shared"))
+
+
+def _central_pairs(family: DataFrame, counts: DataFrame) -> DataFrame:
+    """Every member of a family with its most central one, the one of fewest shingles of its own.
+
+    The pivot may be a copy with changes; then copies of the original are nearer to this member.
+    """
+    placed = written(_with_common(family, counts), "placed")
+    central = placed.groupBy("a").agg(F.max_by("b", F.struct(
+        F.col("shared") / F.col("own"), -F.col("b"))).alias("centre"))
+    return placed.select("a", "b").join(written(central, "centres"), "a").where(
+        "b <> centre").select(
+        F.least("b", "centre").alias("a"), F.greatest("b", "centre").alias("b")).distinct()
+
+
+def _left_open(family: DataFrame, counts: DataFrame, labels: DataFrame,
+               config: NearDedupConfig) -> DataFrame:
+    """Which pairs of a family may be linked although no path between them is known.
+
+    Pairs that have a shingle in common which is neither in the pivot nor common in the family
+    are listed; few members have such a shingle. Other pairs share at most what the lesser of
+    them has in pivot and common shingles. With the threshold t a link then takes that the
+    weights of both together are at most (1 + t) / t times that, so each has to be at most the
+    ``slack`` of the other. Copies with many changes have a slack below the weight of nearly all
+    members, so few pairs are left. They meet by weight, in steps of five per cent.
     """
     t, step = config.threshold - ROUNDING, 0.05
-    top = labels.select(F.col("node").alias("a"), F.col("label").alias("top"))
-    own = labels.select(F.col("node").alias("b"), F.col("label").alias("named"))
-    near = F.col("similarity") >= t
-    placed = written(related.join(top, "a", "left").join(own, "b", "left").select(
-        "a", "b", "own", "novel",
-        ((1 + t) / t * F.col("shared") * (1 + ROUNDING) - F.col("own")).alias("slack"),
-        F.coalesce("top", "a").alias("top"),
-        F.when(near, F.coalesce("top", "a")).otherwise(F.coalesce("named", "b")).alias("label"),
-    ), "placed")
+    named = labels.select(F.col("node").alias("b"), "label")
+    placed = written(_with_common(family, counts).join(named, "b", "left").select(
+        "a", "b", "own", F.coalesce("label", "b").alias("label"),
+        ((1 + t) / t * F.col("shared") * (1 + ROUNDING) - F.col("own")).alias("slack")), "placed")
 
+    # In a family of one component nothing is open; in others pairs within one are not.
+    top = labels.select(F.col("node").alias("a"), F.col("label").alias("top"))
     place = F.floor(F.log(F.col("own")) / step)
     low, high = F.col("own") * t, F.least(F.col("slack"), F.col("own") / t)
-    outside = placed.where((F.col("label") != F.col("top")) & (low <= high)).select(
+    outside = placed.join(top, "a", "left").where(
+        (~F.col("label").eqNullSafe(F.col("top"))) & (low <= high)).select(
         "a", "own", "slack", "label", "b", F.explode(F.sequence(
             F.floor(F.log(low) / step), F.floor(F.log(high) / step))).alias("place"))
     inside = placed.select("a", place.alias("place"), F.col("b").alias("v"),
                            F.col("own").alias("v_own"), F.col("slack").alias("v_slack"),
                            F.col("label").alias("v_label"))
-    pairs = outside.join(inside, ["a", "place"]).where(
-        "label <> v_label AND v_own <= slack AND own <= v_slack").select(
+    by_weight = outside.join(inside, ["a", "place"]).where(
+        "label <> v_label AND v_own <= slack AND own <= v_slack").select("b", "v")
+
+    rare = written(_novel(family).join(counts.where("NOT common"), ["a", "shingle"]).join(
+        placed.select("a", "b", "label"), ["a", "b"]).select(
+        "a", "shingle", "b", "label"), "rare")
+    by_shingle = rare.join(
+        rare.select("a", "shingle", F.col("b").alias("v"), F.col("label").alias("v_label")),
+        ["a", "shingle"]).where("b < v AND label <> v_label").select("b", "v")
+    return by_weight.union(by_shingle).select(
         F.least("b", "v").alias("a"), F.greatest("b", "v").alias("b")).distinct()
-    members = placed.select("a", F.explode("novel").alias("shingle"), "b", "label").select(
-        F.xxhash64("a", "shingle").alias("bucket"), F.col("b").alias("node"), "label")
-    return pairs, members
-
-
-def _linked(found: DataFrame, config: NearDedupConfig) -> DataFrame:
-    return found.where(F.col("similarity") >= config.threshold - ROUNDING).select("a", "b")
 
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
