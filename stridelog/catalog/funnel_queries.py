@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelog.catalog.query import Collection
@@ -170,16 +171,106 @@ def vectors(s: SparkSession, d: str) -> DataFrame:
     return _vectors[key]
 
 
+def sweep(s: SparkSession, d: str) -> DataFrame:
+    """Silhouette and cost per number of clusters, with ten starts each."""
+    def build():
+        points = vectors(s, d)
+        ks = clustering.candidate_ks(points.count()) or range(2, 3)
+        return clustering.k_sweep(points, ks, starts=10)
+    return stage(s, d, "k-sweep", build)
+
+
+def fitted(s: SparkSession, d: str) -> clustering.KMeansModel:
+    key = (s.sparkContext.applicationId, d)
+    if key not in _models:
+        points = vectors(s, d).persist()
+        try:
+            _models[key] = clustering.best_of(points, clustering.best_k(sweep(s, d)), starts=20)
+        finally:
+            points.unpersist()
+    return _models[key]
+
+
+_models: dict[tuple[str, str], clustering.KMeansModel] = {}
+
+
 def clusters(s: SparkSession, d: str) -> DataFrame:
-    return stage(s, d, "clusters", lambda: clustering.run_clustering(
-        segment_table(s, d), starts=2)[0])
+    return stage(s, d, "clusters", lambda: segment_table(s, d).join(
+        fitted(s, d).transform(vectors(s, d)).select(USER, clustering.CLUSTER), USER))
+
+
+def fixed_clusters(s: SparkSession, d: str) -> DataFrame:
+    """Clusters without a model, the same in both engines."""
+    return segment_table(s, d).withColumn(
+        clustering.CLUSTER, F.expr("CAST(CAST(person_id AS INT) % 4 AS INT)"))
+
 
+FIXED = "(SELECT *, CAST(CAST(person_id AS INT) % 4 AS INTEGER) AS cluster_id FROM seg)"
 
-add("k03_k_sweep", lambda s, d: clustering.k_sweep(vectors(s, d), range(2, 9)))
+add("k03_k_sweep", sweep)
+
+
+def _sweep_checks(s, d):
+    """More clusters never cost more, and the silhouettes are such."""
+    before = Window.orderBy("k")  # a row per number of clusters
+    rows = sweep(s, d).withColumn("_less", F.lag("training_cost").over(before))
+    return rows.agg(
+        F.bool_and(F.coalesce(F.col("training_cost") <= F.col("_less") * 1.001, F.lit(True)))
+        .alias("cost_never_rises"),
+        F.bool_and(F.col("silhouette").between(-1, 1)).alias("silhouettes_in_range"),
+        (F.min("k") == 2).alias("starts_at_two"))
+
+
+add("k03_sweep_checks", _sweep_checks,
+    "SELECT true AS cost_never_rises, true AS silhouettes_in_range, true AS starts_at_two")
 add("k04_clusters", lambda s, d: clusters(s, d).select(USER, clustering.CLUSTER))
-add("k05_cluster_distribution", lambda s, d: clustering.cluster_distribution(clusters(s, d)))
+
+
+def _nearest_centre(s, d):
+    """Whether each user's cluster is that of the nearest centre, by plain distances."""
+    centres = [[float(x) for x in c] for c in fitted(s, d).clusterCenters()]
+    point = vector_to_array("scaled")
+    far = F.array(*[F.aggregate(
+        F.zip_with(point, F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)),
+        F.lit(0.0), lambda x, y: x + y) for c in centres])
+    chosen = clusters(s, d).select(USER, clustering.CLUSTER)
+    return vectors(s, d).join(chosen, USER).select(
+        USER, (far[F.col(clustering.CLUSTER)] <= F.array_min(far) + 1e-9).alias("nearest"))
+
+
+add("k04_nearest_centre", _nearest_centre, "SELECT person_id, true AS nearest FROM seg")
+add("k05_cluster_distribution",
+    lambda s, d: clustering.cluster_distribution(fixed_clusters(s, d)), f"""
+SELECT cluster_id, COUNT(*) AS n,
+  round(100.0 * COUNT(*) / (SELECT COUNT(*) FROM seg)::DOUBLE, 1) AS pct
+FROM {FIXED} GROUP BY cluster_id""")
+add("k05_model_distribution", lambda s, d: clustering.cluster_distribution(clusters(s, d)))
 add("k06_pca_projection", lambda s, d: clustering.pca_projection(vectors(s, d))[0])
-add("k07_cluster_profile", lambda s, d: clustering.cluster_profile(clusters(s, d)))
+
+
+def _pca_checks(s, d):
+    """Components are centred, uncorrelated, and in the order of their variance."""
+    points, shares = clustering.pca_projection(vectors(s, d))
+    scale = F.greatest(F.var_samp("pc1"), F.lit(1.0))
+    return points.agg(
+        ((F.abs(F.avg("pc1")) < 1e-6) & (F.abs(F.avg("pc2")) < 1e-6)).alias("centred"),
+        (F.abs(F.covar_samp("pc1", "pc2")) < scale * 1e-6).alias("uncorrelated"),
+        (F.var_samp("pc1") >= F.var_samp("pc2")).alias("in_order"),
+        F.lit(1 >= shares[0] >= shares[1] >= 0).alias("shares_in_order"))
+
+
+add("k06_pca_checks", _pca_checks, "SELECT true AS centred, true AS uncorrelated, "
+    "true AS in_order, true AS shares_in_order")
+add("k06_explained_variance", lambda s, d: s.createDataFrame(
+    list(enumerate(clustering.pca_projection(vectors(s, d))[1], start=1)),
+    "component INT, share DOUBLE"))
+add("k07_cluster_profile",
+    lambda s, d: clustering.cluster_profile(fixed_clusters(s, d), groups=range(4)),
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, " + ", ".join(
+            f"round(AVG({c}) FILTER (WHERE cluster_id = {g}), 3) AS \"Cluster {g}\""
+            for g in range(4)) + f" FROM {FIXED}" for c in CLUSTER_FEATURES))
+add("k07_model_profile", lambda s, d: clustering.cluster_profile(clusters(s, d)))
 
 add("k07_segment_profile",
     lambda s, d: clustering.cluster_profile(segment_table(s, d), SEGMENT, ORDER, ""),
@@ -188,4 +279,9 @@ add("k07_segment_profile",
             f"round(AVG({c}) FILTER (WHERE funnel_segment = '{g}'), 3) AS \"{g}\"" for g in ORDER)
         + " FROM seg" for c in CLUSTER_FEATURES))
 
-add("k08_cluster_by_segment", lambda s, d: clustering.cluster_by_segment(clusters(s, d)))
+add("k08_cluster_by_segment",
+    lambda s, d: clustering.cluster_by_segment(fixed_clusters(s, d)),
+    "SELECT cluster_id, " + ", ".join(
+        f"COUNT(*) FILTER (WHERE funnel_segment = '{g}') AS \"{g}\"" for g in ORDER)
+    + f" FROM {FIXED} GROUP BY cluster_id")
+add("k08_model_by_segment", lambda s, d: clustering.cluster_by_segment(clusters(s, d)))

@@ -6,7 +6,7 @@ the definitions, not as the operators compute them.
 
 from __future__ import annotations
 
-from stridelog.catalog.testdata import CANVAS, EVENT_NAME, KEPT, SCORE
+from stridelog.catalog.testdata import CANVAS, EVENT_NAME, PERSON, SCORE
 from stridelog.config import BANNED_EVENTS, CORE_EVENTS, FEATURES
 
 
@@ -41,14 +41,15 @@ END
 
 PREFIX = f"""
 WITH raw_events AS (
-  SELECT event_id, CAST(user_id AS VARCHAR) AS person_id, user_id, ts, event_type, props,
+  SELECT event_id, user_id, ts, event_type, props,
     CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k, user_id % 8 AS c
   FROM events
 ),
 ev AS (
-  SELECT event_id, person_id, ts AS "timestamp", {EVENT_NAME.format(STR="VARCHAR")} AS event,
+  SELECT event_id, CAST({PERSON} AS VARCHAR) AS person_id, ts AS "timestamp",
+    {EVENT_NAME.format(STR="VARCHAR")} AS event,
     {CANVAS.format(STR="VARCHAR")} AS canvas_id, props
-  FROM raw_events WHERE {KEPT}
+  FROM raw_events
 ),
 cutoff AS (
   SELECT person_id,

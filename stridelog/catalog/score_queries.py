@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelog.catalog.event_queries import FEATURE_DOUBLES, FOLD_SQL
@@ -82,16 +82,64 @@ add("m05_boosted_trees",
     lambda s, d: propensity.scored(model(s, d), labelled_rows(s, d)).select(
         USER, LABEL, propensity.PROBA))
 add("m06_best_iterations", lambda s, d: oof(s, d)[1])
+
+
+def _stopping_checks(s, d):
+    """The best round is that of the least recorded loss, and no more rounds than asked ran."""
+    at = F.col("losses")[F.col("best_iteration") - 1]
+    before = F.slice("losses", 1, propensity.PATIENCE)
+    return oof(s, d)[1].select(
+        "fold", (at <= F.array_min(before)).alias("best_so_far"),
+        (F.col("rounds") <= propensity.TREES).alias("within_rounds"),
+        (F.size("losses") == F.col("rounds")).alias("all_recorded"))
+
+
+add("m06_stopping_checks", _stopping_checks, """
+SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS fold, true AS best_so_far, true AS within_rounds,
+  true AS all_recorded""")
 add("m07_out_of_fold", lambda s, d: oof(s, d)[0])
+
+FOLD_ROWS = f"""
+SELECT person_id, will_upgrade_in_7d, CAST((row_number() OVER (
+    PARTITION BY will_upgrade_in_7d ORDER BY md5(person_id || '{SEED}')) - 1) % 3 + 1 AS INTEGER)
+  AS fold
+FROM spl WHERE split IN ('train', 'validation')"""
+IN_RANGE = f"{propensity.PROBA} BETWEEN 0 AND 1 AS in_range"
+
+add("m07_out_of_fold_rows",
+    lambda s, d: oof(s, d)[0].selectExpr(USER, "fold", "y_true", IN_RANGE),
+    f"SELECT person_id, fold, will_upgrade_in_7d AS y_true, true AS in_range FROM ({FOLD_ROWS})")
 add("m08_fold_scores", lambda s, d: metrics.fold_scores(scored_users(s, d)), FOLD_SQL)
 add("m08_model_fold_scores",
-    lambda s, d: metrics.fold_scores(propensity.as_scored(oof(s, d)[0]), oof(s, d)[1]))
+    lambda s, d: metrics.fold_scores(
+        propensity.as_scored(oof(s, d)[0]), oof(s, d)[1].drop("losses")))
 add("m09_test_scores", lambda s, d: propensity.score_split(model(s, d), training(s, d)))
+add("m09_test_rows",
+    lambda s, d: propensity.score_split(model(s, d), training(s, d)).select(
+        USER, "y", F.col("p").between(0, 1).alias("in_range")),
+    "SELECT person_id, will_upgrade_in_7d AS y, true AS in_range FROM spl WHERE split = 'test'")
 add("m10_batch_scoring",
     lambda s, d: propensity.predict_batch(
         model(s, d), feature_store(s, d).drop("account_age_days")).select(
         USER, "upgrade_probability", "upgrade_risk_tier", "recommended_action"))
 
+
+
+def _scored_rows(s, d):
+    """Every row twice, as the batch may hold a user more than once, with the tier it must have."""
+    store = feature_store(s, d).select(USER, *FEATURES[:4])
+    p = F.col("upgrade_probability")
+    tier = F.when(p > 0.75, "HOT_LEAD").when(p > 0.5, "WARM_LEAD").when(p > 0.25, "NURTURE")
+    edge = p.isin(0.75, 0.5, 0.25)  # rounded, so either tier may be right
+    return propensity.predict_batch(model(s, d), store.unionByName(store)).select(
+        USER, "total_events", p.between(0, 1).alias("in_range"),
+        (edge | (F.coalesce(tier, F.lit("COLD")) == F.col("upgrade_risk_tier"))).alias("tier_fits"))
+
+
+add("m10_batch_rows", _scored_rows, """
+SELECT person_id, total_events, true AS in_range, true AS tier_fits
+FROM (SELECT * FROM fs UNION ALL SELECT * FROM fs)""")
+
 TIER_CASE = """
   CASE WHEN p >= 0.75 THEN 'HOT_LEAD' WHEN p >= 0.5 THEN 'WARM_LEAD'
        WHEN p >= 0.25 THEN 'NURTURE' ELSE 'COLD' END AS upgrade_risk_tier,
@@ -109,8 +157,54 @@ add("m12_feature_importance",
 add("m12_top_features", lambda s, d: propensity.top_features(model(s, d), feature_store(s, d)))
 add("m13_importance_share",
     lambda s, d: propensity.feature_importance(model(s, d), s).select("feature", "share"))
+
+
+def _importance_checks(s, d):
+    """Importances are shares of one, from the largest, for every feature."""
+    order = Window.orderBy("rank")  # a row per feature
+    rows = propensity.feature_importance(model(s, d), s).withColumn(
+        "_less", F.lead("importance").over(order))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), (F.abs(F.sum("share") - 1) < 1e-9).alias("shares_add_up"),
+        F.bool_and(F.col("importance") >= F.coalesce("_less", F.lit(0.0))).alias("in_order"))
+
+
+add("m12_importance_checks", _importance_checks,
+    f"SELECT CAST({len(FEATURES)} AS BIGINT) AS n, true AS shares_add_up, true AS in_order")
+
+
+def _top_values(s, d):
+    """The values a user has of the top features, next to the table's own."""
+    names = [r["feature"] for r in propensity.feature_importance(model(s, d), s)
+             .where("rank <= 3").collect()]
+    found = propensity.top_features(model(s, d), feature_store(s, d))
+    own = feature_store(s, d).select(USER, F.create_map(*[
+        x for n in names for x in (F.lit(n), F.col(n).cast("double"))]).alias("own"))
+    return found.join(own, USER).select(USER, (
+        F.map_entries("own") == F.map_entries("top_features")).alias("own_values"))
+
+
+add("m12_top_values", _top_values, "SELECT person_id, true AS own_values FROM fs")
+
+
+def held_out(s: SparkSession, d: str) -> tuple[propensity.PropensityModel, DataFrame]:
+    """A model of all folds but the first, and the rows of the first, which it has not seen."""
+    key = (s.sparkContext.applicationId, d, "held out")
+    if key not in _runs:
+        rows = stage(s, d, "held-out", lambda: propensity.stratified_folds(labelled_rows(s, d)))
+        trees = propensity.median_iteration(oof(s, d)[1])
+        fitted = propensity.fit(rows.where("fold <> 1"), FEATURES, trees=trees)
+        _runs[key] = fitted, rows.where("fold = 1")
+    return _runs[key]
+
+
 add("m14_permutation_importance",
-    lambda s, d: propensity.permutation_importance(model(s, d), labelled_rows(s, d)))
+    lambda s, d: propensity.permutation_importance(*held_out(s, d)))
+add("m14_permutation_checks",
+    lambda s, d: propensity.permutation_importance(*held_out(s, d)).agg(
+        F.count(F.lit(1)).alias("n"), (F.count_distinct("base_auc") <= 1).alias("one_base"),
+        F.coalesce(F.bool_and(F.col("shuffled_auc").between(0, 1)), F.lit(True)).alias("in_range")),
+    f"SELECT CAST({len(FEATURES)} AS BIGINT) AS n, true AS one_base, true AS in_range")
 
 add("m15_seeded_sample",
     lambda s, d: propensity.seeded_sample(label_table(s, d)).select(USER, LABEL),
@@ -120,6 +214,15 @@ add("m16_model_metadata",
     lambda s, d: propensity.model_metadata(
         training(s, d), *oof(s, d), propensity.score_split(model(s, d), training(s, d))))
 
+add("m16_metadata_sizes",
+    lambda s, d: propensity.model_metadata(
+        training(s, d), *oof(s, d), propensity.score_split(model(s, d), training(s, d))
+    ).select("n_train", "n_val", "n_test", "n_features"), f"""
+SELECT COUNT(*) FILTER (WHERE split = 'train') AS n_train,
+  COUNT(*) FILTER (WHERE split = 'validation') AS n_val,
+  COUNT(*) FILTER (WHERE split = 'test') AS n_test,
+  CAST({len(FEATURES)} AS INTEGER) AS n_features FROM spl""")
+
 
 # Metrics
 

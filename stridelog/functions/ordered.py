@@ -95,13 +95,15 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, names: dict[st
         )
         key = F.when(F.col("_v") >= least, F.col("_v"))
         places.append(F.when(F.col("_v") <= most, F.struct(F.lit(i).alias("i"), key.alias("key"))))
+    # Equal values are one row from here on, however many they are.
+    counted = values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_times"))
     placed = (
-        attach_per_group(values, ranges, by, "_v", few_groups)
+        attach_per_group(counted, ranges, by, "_v", few_groups)
         .where(F.col("_total").isNotNull())
-        .select(*by, "_total", F.explode(F.filter(F.array(*places), lambda x: x.isNotNull()))
+        .select(*by, "_total", "_times", F.explode(F.filter(F.array(*places), lambda x: x.isNotNull()))
                 .alias("_at"))
         .groupBy(*by, F.col("_at.i").alias("_i"), F.col("_at.key").alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total"))
+        .agg(F.sum("_times").alias("_n"), F.max("_total").alias("_total"))
     )
     ascending = Window.partitionBy(*by, "_i").orderBy(F.asc_nulls_first("_key")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelog.config import EVENT, SKEW, TS, USER, SkewPolicy
+from stridelog.config import SKEW, USER, SkewPolicy
 
 PIECE = "_piece"
 GROUP_PIECES = 64
@@ -38,12 +38,13 @@ def attach_per_user(events: DataFrame, per_user: DataFrame,
 
     The events of a hot user are spread over pieces and the user's row is repeated for
     each piece, so the join key is (user, piece). The piece stays in the result for a
-    first aggregation on the same key; the pieces then meet as partial results only.
+    first aggregation on the same key; the pieces then meet as partial results only. Pieces go by
+    all columns, so that events of one time and name part if anything else differs.
     """
     hot = F.broadcast(hot_users(events, policy))
     spread = events.join(hot, USER, "left").withColumn(
         PIECE,
-        F.coalesce(F.pmod(F.xxhash64(TS, EVENT), F.col("_pieces")).cast("int"), F.lit(0)),
+        F.coalesce(F.pmod(F.xxhash64(*events.columns), F.col("_pieces")).cast("int"), F.lit(0)),
     ).drop("_pieces")
     repeated = per_user.join(hot, USER, "left").withColumn(
         PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
@@ -55,8 +56,8 @@ def attach_per_group(df: DataFrame, per_group: DataFrame, by: Sequence[str],
                      spread_by: str, few_groups: bool = False) -> DataFrame:
     """Inner join with a one-row-per-group table; for no groups, with its only row.
 
-    Each group's rows are spread over pieces by the hash of ``spread_by`` and the group's
-    row is repeated for each, so that no group has to pass through one task. Where the
+    Each group's rows are spread over pieces by the hash of ``spread_by``, of which a group
+    should hold no value in many rows, and the group's row is repeated for each, so that no group has to pass through one task. Where the
     number of groups is bounded, ``few_groups``, the table is broadcast instead.
     """
     if not by:

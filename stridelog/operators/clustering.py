@@ -75,8 +75,10 @@ def cluster_vectors(feature_store: DataFrame) -> DataFrame:
     )
 
 
-def _fit(vectors: DataFrame, k: int, seeds: Sequence[int], max_iter: int) -> KMeansModel:
+def best_of(vectors: DataFrame, k: int, starts: int, seed: int = SEED,
+            max_iter: int = 500) -> KMeansModel:
     """The best of several starts, by within-cluster cost."""
+    seeds = range(seed, seed + starts)
     models = [
         KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="scaled", predictionCol=CLUSTER)
         .fit(vectors)
@@ -92,10 +94,12 @@ def k_sweep(vectors: DataFrame, ks: Sequence[int], seed: int = SEED,
         featuresCol="scaled", predictionCol=CLUSTER, distanceMeasure="squaredEuclidean"
     )
     rows = []
+    vectors = vectors.persist()
     for k in ks:
-        model = _fit(vectors, k, range(seed, seed + starts), max_iter=300)
+        model = best_of(vectors, k, starts, seed, max_iter=300)
         rows.append((k, evaluator.evaluate(model.transform(vectors)),
                      model.summary.trainingCost))
+    vectors.unpersist()
     return vectors.sparkSession.createDataFrame(
         rows, "k INT, silhouette DOUBLE, training_cost DOUBLE"
     )
@@ -118,7 +122,7 @@ def run_clustering(feature_store: DataFrame, n_clusters: int = 4, seed: int = SE
     vectors = cluster_vectors(feature_store).persist()
     ks = candidate_ks(vectors.count())
     k = best_k(k_sweep(vectors, ks, seed, min(starts, 10))) if ks else n_clusters
-    model = _fit(vectors, k, range(seed, seed + starts), max_iter=500)
+    model = best_of(vectors, k, starts, seed)
     clusters = model.transform(vectors).select(USER, CLUSTER)
     vectors.unpersist()
     return feature_store.join(clusters, USER), model

@@ -23,8 +23,9 @@ FOLD = "fold"
 PROBA = "y_pred_proba"
 SAMPLE_ROWS = 1000
 
-# Boosting settings; many more trees bring little over these and cost a job each.
-TREES, DEPTH, STEP, SHARE = 20, 5, 0.05, 0.8
+# Boosting settings. Each tree costs several jobs; a long run may ask for a thousand trees and a
+# patience of a hundred.
+TREES, PATIENCE, DEPTH, STEP, SHARE, LEAF_ROWS = 60, 20, 5, 0.05, 0.8, 20
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,7 @@ class PropensityModel:
     features: tuple[str, ...]
     medians: DataFrame
     pipeline: PipelineModel
+    losses: tuple[float, ...] = ()  # of the validation rows after each tree, where they were given
 
     @property
     def trees(self) -> GBTClassificationModel:
@@ -112,40 +114,69 @@ def _weighted(df: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def fit(train: DataFrame, features: Sequence[str], validation: DataFrame | None = None,
-        trees: int = TREES, seed: int = SEED) -> PropensityModel:
-    """Fit medians and trees on ``train``; with ``validation``, stop when it gets no better."""
+        trees: int = TREES, seed: int = SEED, patience: int = PATIENCE) -> PropensityModel:
+    """Fit medians and trees on ``train``.
+
+    With ``validation`` its loss is taken after every tree, and the number of trees is the best
+    one found before ``patience`` rounds went by without a better; see ``best_round``. Trees are
+    drawn from seeds in a row, so fitting again with fewer gives the first ones.
+    """
     medians = written_once(_wide(feature_medians(train, features), features), "medians")
-    rows = train.withColumn("_held_out", F.lit(False))
-    settings = dict(
-        featuresCol="features", labelCol=LABEL, weightCol="_weight", maxIter=trees,
-        maxDepth=DEPTH, stepSize=STEP, subsamplingRate=SHARE, featureSubsetStrategy=str(SHARE),
-        seed=seed,
-    )
-    if validation is not None:
-        rows = rows.unionByName(validation.withColumn("_held_out", F.lit(True)))
-        settings["validationIndicatorCol"] = "_held_out"
-    filled = imputed(_weighted(rows, train), medians, features)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    inputs = assembler.transform(filled).select(
-        "features", F.col(LABEL).cast("double").alias(LABEL), "_weight", "_held_out"
-    ).persist()
-    model = GBTClassifier(**settings).fit(inputs)
-    inputs.unpersist()
-    return PropensityModel(tuple(features), medians, PipelineModel([assembler, model]))
+
+    def inputs(rows: DataFrame) -> DataFrame:
+        filled = imputed(_weighted(rows, train), medians, features)
+        return assembler.transform(filled).select(
+            "features", F.col(LABEL).cast("double").alias(LABEL), "_weight")
+
+    def boosted(rows: DataFrame, count: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            featuresCol="features", labelCol=LABEL, weightCol="_weight", maxIter=count,
+            maxDepth=DEPTH, stepSize=STEP, subsamplingRate=SHARE,
+            featureSubsetStrategy=str(SHARE), minInstancesPerNode=LEAF_ROWS, seed=seed,
+        ).fit(rows)
+
+    rows, losses = inputs(train).persist(), None
+    try:
+        model = boosted(rows, trees)
+        if validation is not None:
+            losses = model.evaluateEachIteration(inputs(validation))
+            best = best_round(losses, patience)
+            model = model if best == trees else boosted(rows, best)
+    finally:
+        rows.unpersist()
+    return PropensityModel(tuple(features), medians, PipelineModel([assembler, model]),
+                           tuple(losses or ()))
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """The round, from 1, of the least loss before ``patience`` rounds without a lesser one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def scored(model: PropensityModel, df: DataFrame, name: str = PROBA) -> DataFrame:
     """Add the model's probability; features become doubles without nulls."""
-    filled = imputed(df, model.medians, model.features)
+    return with_probability(model, imputed(df, model.medians, model.features), name)
+
+
+def with_probability(model: PropensityModel, filled: DataFrame, name: str) -> DataFrame:
+    """Add the model's probability to a table with all features imputed."""
     probability = vector_to_array("probability")[1]
     return model.pipeline.transform(filled).withColumn(name, probability).drop(
         "features", "rawPrediction", "probability", "prediction"
     )
 
 
-def cross_validate(table: DataFrame, k: int = FOLDS, trees: int = TREES,
-                   seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Out-of-fold scores ``(person_id, fold, y_true, y_pred_proba)`` and trees per fold.
+def cross_validate(table: DataFrame, k: int = FOLDS, trees: int = TREES, seed: int = SEED,
+                   patience: int = PATIENCE) -> tuple[DataFrame, DataFrame]:
+    """Out-of-fold scores ``(person_id, fold, y_true, y_pred_proba)`` and, per fold, the best
+    number of trees, the rounds that were run, and the loss after each.
 
     Each fold is scored by a model that has seen neither its rows nor their medians.
     """
@@ -154,15 +185,16 @@ def cross_validate(table: DataFrame, k: int = FOLDS, trees: int = TREES,
     parts, best = [], []
     for fold in range(1, k + 1):
         held_out = folded.where(F.col(FOLD) == fold)
-        model = fit(folded.where(F.col(FOLD) != fold), features, held_out, trees, seed)
-        best.append((fold, model.n_trees))
+        model = fit(folded.where(F.col(FOLD) != fold), features, held_out, trees, seed, patience)
+        best.append((fold, model.n_trees, len(model.losses), list(model.losses)))
         parts.append(scored(model, held_out).select(
             USER, FOLD, F.col(LABEL).cast("int").alias("y_true"), PROBA
         ))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    iterations = table.sparkSession.createDataFrame(best, "fold INT, best_iteration INT")
+    iterations = table.sparkSession.createDataFrame(
+        best, "fold INT, best_iteration INT, rounds INT, losses ARRAY<DOUBLE>")
     return written_once(out, "out-of-fold"), iterations
 
 
@@ -188,18 +220,18 @@ def score_split(model: PropensityModel, table: DataFrame, split: str = "test") -
 
 
 def predict_batch(model: PropensityModel, feature_store: DataFrame) -> DataFrame:
-    """Add probability (four digits), tier and action for every user of a table.
+    """Add probability (four digits), tier and action to every row of a table.
 
-    The tier goes by the unrounded probability. The table keeps its own columns as they
-    are; features it lacks are imputed.
+    The tier goes by the unrounded probability. The table keeps its rows and its own columns as
+    they are, which travel along while features it lacks are imputed; columns with the names of
+    the added ones give way. Nothing is joined but the one row of medians.
     """
-    scores = scored(model, feature_store.select(
-        USER, *[f for f in model.features if f in feature_store.columns]
-    ), "_p").select(USER, "_p")
-    tiers = metrics.lead_tiers(scores, "_p").withColumn(
-        "upgrade_probability", F.round("_p", 4)
-    ).drop("_p")
-    return feature_store.join(tiers, USER)
+    added = ("upgrade_probability", "upgrade_risk_tier", "recommended_action")
+    own = F.struct(*[c for c in feature_store.columns if c not in added]).alias("_row")
+    present = [f for f in model.features if f in feature_store.columns]
+    filled = imputed(feature_store.select(own, *present), model.medians, model.features)
+    tiers = metrics.lead_tiers(with_probability(model, filled, "_p").select("_row", "_p"), "_p")
+    return tiers.withColumn("upgrade_probability", F.round("_p", 4)).select("_row.*", *added)
 
 
 def feature_importance(model: PropensityModel, spark: SparkSession) -> DataFrame:
@@ -231,20 +263,20 @@ def seeded_sample(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SEED) -> Data
     return df.orderBy(order, USER).limit(n)
 
 
-def permutation_importance(model: PropensityModel, table: DataFrame, n: int = SAMPLE_ROWS,
+def permutation_importance(model: PropensityModel, table: DataFrame, n: int | None = None,
                            seed: int = SEED) -> DataFrame:
-    """Fall in ROC-AUC on a sample of ``n`` rows when one feature's values are shuffled.
+    """Fall in ROC-AUC when one feature's values are shuffled, over all rows of ``table``.
 
-    All shuffled copies of the sample are scored in one pass.
+    The rows should be such as the model has not seen. ``n`` takes a seeded sample of them. All
+    shuffled copies are scored in one pass.
     """
     features = list(model.features)
-    sample = imputed(seeded_sample(table, n, seed), model.medians, features)
-    own, other = (
-        F.row_number().over(Window.orderBy(F.md5(F.concat(F.col(USER), F.lit(f"{seed}/{s}")))))
-        for s in ("own", "other")
-    )
-    # The windows run over the n rows of the sample.
-    numbered = sample.select(USER, LABEL, *features, own.alias("_own"), other.alias("_other"))
+    rows = imputed(table if n is None else seeded_sample(table, n, seed), model.medians, features)
+    numbered = rows.select(USER, LABEL, *features)
+    for name in ("own", "other"):
+        digest = F.md5(F.concat(F.col(USER), F.lit(f"{seed}/{name}")))
+        numbered = spread_row_number(
+            numbered.withColumn("_digest", digest), [], "_digest", f"_{name}").drop("_digest")
     donors = numbered.select(
         F.col("_other").alias("_own"), F.struct(*features).alias("_donor")
     )

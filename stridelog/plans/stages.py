@@ -96,7 +96,8 @@ def make_model(run: Run, trees: int = propensity.TREES) -> propensity.Propensity
     model.save(run.path("model"))
     sinks.write_csv(oof, run.path("oof_predictions"))
     sinks.write_csv(
-        metrics.fold_scores(propensity.as_scored(oof), iterations), run.path("fold_scores")
+        metrics.fold_scores(propensity.as_scored(oof), iterations.drop("losses")),
+        run.path("fold_scores"),
     )
     sinks.write_json(
         propensity.model_metadata(table, oof, iterations, test), run.path("model_metadata")

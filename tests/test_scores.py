@@ -147,8 +147,35 @@ def test_model_round_trip(spark, tmp_path):
     again = propensity.predict_batch(propensity.PropensityModel.load(spark, str(tmp_path / "m")), df)
     assert sorted(again.collect(), key=lambda r: r["person_id"]) == sorted(
         scores.collect(), key=lambda r: r["person_id"])
+    twice = propensity.predict_batch(model, df.limit(3).unionAll(df.limit(3)))
+    assert twice.count() == 6 and twice.columns[:4] == df.columns
+    assert "Exchange hash" not in twice._jdf.queryExecution().executedPlan().toString()
     lacking = propensity.predict_batch(model, df.drop("b"))
     assert lacking.count() == 400
     drops = {r["feature"]: r["auc_drop"] for r in propensity.permutation_importance(
         model, df).collect()}
     assert drops["a"] > drops["b"]
+
+
+def test_best_round_waits_with_patience():
+    losses = [5.0, 4.0, 4.5, 4.2, 3.0, 3.5, 3.6, 3.7, 1.0]
+    assert propensity.best_round(losses, 2) == 2
+    assert propensity.best_round(losses, 3) == 5
+    assert propensity.best_round(losses, 9) == 9
+
+
+def test_early_stopping_cuts_the_trees(spark):
+    df = spark.range(600).selectExpr(
+        "CAST(id AS STRING) AS person_id", "CAST(xxhash64(id) % 3 = 0 AS INT) AS will_upgrade_in_7d",
+        "CAST(xxhash64(id, 1) % 50 AS DOUBLE) AS a")  # nothing to learn
+    model = propensity.fit(df.where("CAST(person_id AS INT) < 400"), ["a"],
+                           df.where("CAST(person_id AS INT) >= 400"), trees=8, patience=2)
+    assert len(model.losses) == 8
+    assert model.n_trees == propensity.best_round(model.losses, 2) < 8
+
+
+def test_a_group_of_equal_values_is_one_row(spark):
+    df = spark.range(200_000).selectExpr("CAST(IF(id % 10 = 0, id, 7) AS DOUBLE) AS v")
+    got = exact_quantiles(df, [], "v", {"low": 0.05, "mid": 0.5, "high": 0.99}).first()
+    want = [df.agg(F.percentile("v", F.lit(p))).first()[0] for p in (0.05, 0.5, 0.99)]
+    assert [round(x, 9) for x in got] == [round(x, 9) for x in want]

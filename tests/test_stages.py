@@ -13,7 +13,7 @@ def test_a_whole_run(spark, tmp_path):
     canonical_events(spark, "/root/testdata/sf0.01").write.parquet(log)
     run = stages.Run(spark, log, str(tmp_path / "out"))
     result = stages.run_all(run, trees=2, starts=1)
-    assert result.agg(F.sum("user_count")).first()[0] == 114
+    assert result.agg(F.sum("user_count")).first()[0] == 316
     assert result.agg(F.count("mean_upgrade_prob")).first()[0] == result.count()
     made = {"labels", "splits", "feature_store", "audit", "segments", "transitions", "clusters",
             "kmeans", "training", "model", "oof_predictions", "fold_scores", "model_metadata",
@@ -21,6 +21,6 @@ def test_a_whole_run(spark, tmp_path):
     assert made <= set(os.listdir(tmp_path / "out"))
     assert run.table("audit").count() == 0
     meta = spark.read.json(run.path("model_metadata")).first()
-    assert meta["n_train"] == 80 and meta["n_features"] == 22 and meta["test_auc"] is None
+    assert meta["n_train"] == 221 and meta["n_features"] == 22 and meta["test_auc"] is None
     tiers = run.table("predictions").where("upgrade_risk_tier IS NULL").count()
     assert tiers == 0
