@@ -57,7 +57,11 @@ def scaling_parameters(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def robust_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns less their median, over their interquartile range."""
-    wide = scaling_parameters(df, columns).groupBy().pivot("feature", list(columns)).agg(
+    return _scaled(df, columns, scaling_parameters(df, columns))
+
+
+def _scaled(df: DataFrame, columns: Sequence[str], parameters: DataFrame) -> DataFrame:
+    wide = parameters.groupBy().pivot("feature", list(columns)).agg(
         F.max("center").alias("center"), F.max("scale").alias("scale")
     )
     return df.crossJoin(F.broadcast(wide)).select(USER, *[
@@ -65,6 +69,15 @@ def robust_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])
 
 
+def place_users(feature_store: DataFrame, parameters: DataFrame, model: KMeansModel) -> DataFrame:
+    """Clusters of users who may be new, by a fitted model and the scaling it was fitted on."""
+    inputs = cluster_input(feature_store)
+    columns = [c for c in inputs.columns if c != USER]
+    scaled = _scaled(inputs, columns, parameters)
+    return model.transform(VectorAssembler(inputCols=columns, outputCol="scaled").transform(
+        scaled)).select(USER, CLUSTER)
+
+
 def cluster_vectors(feature_store: DataFrame) -> DataFrame:
     """``person_id`` and the scaled feature vector, written once as many fits read it."""
     inputs = cluster_input(feature_store)

@@ -49,16 +49,14 @@ def name_findings(catalog: DataFrame, label: str = LABEL,
     )
 
 
-def label_correlations(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Correlation of every numeric column with the label, and the pairs it rests on.
-
-    One aggregation for all columns; null where a side is constant.
-    """
+def _statistics(df: DataFrame, label: str, *more: Column) -> DataFrame:
+    """One row of one aggregation: ``pairs``, an entry per numeric column, and ``more``."""
     columns = numeric_columns(df, skip=(label,))
     y = F.col(label)
     stats = df.agg(
         *[pearson(F.col(c), y).alias(f"r|{c}") for c in columns],
         *[F.count_if(F.col(c).isNotNull() & y.isNotNull()).alias(f"n|{c}") for c in columns],
+        *more,
     )
     pairs = F.array(*[
         F.struct(
@@ -67,7 +65,15 @@ def label_correlations(df: DataFrame, label: str = LABEL) -> DataFrame:
         )
         for c in columns
     ])
-    return stats.select(F.inline(pairs))
+    return stats.select(pairs.alias("pairs"), *stats.columns[2 * len(columns):])
+
+
+def label_correlations(df: DataFrame, label: str = LABEL) -> DataFrame:
+    """Correlation of every numeric column with the label, and the pairs it rests on.
+
+    One aggregation for all columns; null where a side is constant.
+    """
+    return _statistics(df, label).select(F.inline("pairs"))
 
 
 def correlation_findings(df: DataFrame, label: str = LABEL,
@@ -76,41 +82,52 @@ def correlation_findings(df: DataFrame, label: str = LABEL,
         return column_catalog(df).where(F.lit(False)).select(
             *_finding(2, F.col("column"), F.col("column"), "HIGH")
         )
+    return _strong(label_correlations(df, label), threshold)
+
+
+def _strong(correlations: DataFrame, threshold: float) -> DataFrame:
     strength = F.abs("r")
     reason = F.concat(
         F.lit("Pearson |r| = "), F.format_string("%.4f", strength),
         F.lit(f" > {threshold} with label"),
     )
-    return (
-        label_correlations(df, label)
-        .where((F.col("n_pairs") >= MIN_PAIRS) & (strength > threshold))
-        .select(*_finding(2, F.col("column"), reason, "HIGH"))
-    )
+    return correlations.where((F.col("n_pairs") >= MIN_PAIRS) & (strength > threshold)).select(
+        *_finding(2, F.col("column"), reason, "HIGH"))
 
 
 def post_cutoff_findings(df: DataFrame) -> DataFrame | None:
     """A finding when rows lie after their cutoff; None when the table has no such columns."""
     if TS not in df.columns or CUTOFF not in df.columns:
         return None
-    late = df.agg(F.count_if(F.col(TS) > F.col(CUTOFF)).alias("n"))
+    return _late(df.agg(F.count_if(F.col(TS) > F.col(CUTOFF)).alias("n")))
+
+
+def _late(counted: DataFrame) -> DataFrame:
     reason = F.concat(
         F.col("n").cast("string"),
         F.lit(f" row(s) have {TS} > {CUTOFF} (post-cutoff data)"),
     )
-    return late.where("n > 0").select(
+    return counted.where("n > 0").select(
         *_finding(3, F.lit(f"{TS} / {CUTOFF}"), reason, "CRITICAL")
     )
 
 
 def audit_features(df: DataFrame, label_col: str = LABEL,
                    correlation_threshold: float = CORRELATION_LIMIT) -> DataFrame:
-    """All findings as (layer, column, reason, severity)."""
-    parts = [
-        name_findings(column_catalog(df), label_col),
-        correlation_findings(df, label_col, correlation_threshold),
-        post_cutoff_findings(df),
-    ]
-    return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+    """All findings as (layer, column, reason, severity), from one aggregation of the table."""
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column STRING")
+    parts = [name_findings(names, label_col)]
+    timed = TS in df.columns and CUTOFF in df.columns
+    if label_col in df.columns:
+        late = [F.count_if(F.col(TS) > F.col(CUTOFF)).alias("n")] if timed else []
+        row = _statistics(df, label_col, *late)
+        parts.append(_strong(row.select(F.inline("pairs")), correlation_threshold))
+        if timed:
+            # Asking for the pairs too lets both parts read one aggregation.
+            parts.append(_late(row.where(F.size("pairs") >= 0).select("n")))
+    elif timed:
+        parts.append(post_cutoff_findings(df))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def banned_columns(df: DataFrame,

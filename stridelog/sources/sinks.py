@@ -17,11 +17,25 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
 
 def run_sql_string(spark: SparkSession, sql: str, params: dict[str, str] | None = None,
                    output_parquet: str | None = None) -> DataFrame:
-    """Run a query, with session settings ``params``; write it when a path is given."""
+    """Run a query, with session settings ``params``; write it when a path is given.
+
+    A query that is written leaves the settings as they were. One that is not runs later, so
+    its settings stay.
+    """
+    before = {key: spark.conf.get(key, None) for key in params or {}}
     for key, value in (params or {}).items():
         spark.conf.set(key, value)
     result = spark.sql(sql.strip().rstrip(";"))
-    return result if output_parquet is None else write_parquet(result, output_parquet)
+    if output_parquet is None:
+        return result
+    try:
+        return write_parquet(result, output_parquet)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def run_sql_file(spark: SparkSession, sql_path: str, params: dict[str, str] | None = None,

@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from stridelog.catalog.testdata import canonical_events
+from stridelog.operators import clustering
 from stridelog.plans import stages
 
 
@@ -24,3 +25,9 @@ def test_a_whole_run(spark, tmp_path):
     assert meta["n_train"] == 221 and meta["n_features"] == 22 and meta["test_auc"] is None
     tiers = run.table("predictions").where("upgrade_risk_tier IS NULL").count()
     assert tiers == 0
+
+    # A saved model and its scaling place the same users in the same clusters.
+    model = clustering.KMeansModel.load(run.path("kmeans"))
+    scaling = spark.read.parquet(run.path("cluster_scaling"))
+    placed = clustering.place_users(run.table("segments"), scaling, model)
+    assert placed.exceptAll(run.table("clusters").select(*placed.columns)).count() == 0
