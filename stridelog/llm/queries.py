@@ -181,6 +181,68 @@ def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_report(_documents(spark, sf_dir))
 
 
+def _op8_sql() -> str:
+    rules = quality.RepetitionRules()
+    lengths = sorted(rules.ngram_chars)
+    grams = ", ".join(f"CASE WHEN i + {n - 1} <= n THEN array_to_string(ws[i:i + {n - 1}], ' ') "
+                      f"END AS g{n}" for n in (3, *lengths))
+    found = ", ".join(
+        f"g{n} IS NOT NULL AND row_number() OVER (PARTITION BY doc_id, g{n} ORDER BY i) > 1 AS a{n}"
+        for n in lengths)
+    covered = ", ".join(
+        f"bool_or(a{n}) OVER (PARTITION BY doc_id ORDER BY i ROWS {n - 1} PRECEDING) AS c{n}"
+        for n in lengths)
+    chars = ", ".join(f"coalesce(sum(length(w)) FILTER (WHERE c{n}), 0)::BIGINT AS ngram_chars_{n}"
+                      for n in lengths)
+    listed = ", ".join(f"coalesce(ngram_chars_{n}, 0) AS ngram_chars_{n}" for n in lengths)
+    limits = " AND ".join(f"ngram_chars_{n} <= {most}::DOUBLE * word_chars"
+                          for n, most in rules.ngram_chars.items())
+    return rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), placed AS (
+  SELECT doc_id, i, n, ws[i] AS w, {grams}
+  FROM (SELECT doc_id, ws, len(ws) AS n, unnest(range(1, len(ws) + 1)) AS i FROM texts)
+), marked AS (
+  SELECT doc_id, i, w, g3 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g3) > 1 AS a3,
+         {found}
+  FROM placed
+), spread AS (
+  SELECT doc_id, w, bool_or(a3) OVER (PARTITION BY doc_id ORDER BY i ROWS 2 PRECEDING) AS c3,
+         {covered}
+  FROM marked
+), by_words AS (
+  SELECT doc_id, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars,
+         count(*) FILTER (WHERE c3) AS n_repeat_words, {chars}
+  FROM spread GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) > 1 AS again
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), by_lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE again) AS n_dup_lines,
+         coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')))
+                  FILTER (WHERE again), 0)::BIGINT AS dup_line_chars
+  FROM lines GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(dup_line_chars, 0) AS dup_line_chars, {listed}
+  FROM texts LEFT JOIN by_words USING (doc_id) LEFT JOIN by_lines USING (doc_id)
+), judged AS (
+  SELECT *, n_words < {rules.min_words}
+            OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed
+  FROM counted
+)
+SELECT *, NOT base_failed AND {limits}
+          AND dup_line_chars <= {rules.line_chars}::DOUBLE * word_chars
+          AND n_dup_lines <= {rules.lines}::DOUBLE * n_lines AS kept
+FROM judged
+"""
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return near_dedup.near_duplicate_classes(docs)
@@ -217,4 +279,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": _op3_sql(),
     "op4_line_dedup": OP4_SQL,
     "op7_mixing": OP7_SQL,
+    "op8_repetition_rules": _op8_sql(),
 }
