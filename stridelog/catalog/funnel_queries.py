@@ -136,6 +136,21 @@ add("t10_transition_matrix", lambda s, d: transitions.compute_transition_matrix(
         f"COALESCE(MAX(prob) FILTER (WHERE to_segment = '{g}'), 0.0) AS \"{g}\"" for g in ORDER
     ) + " FROM trans GROUP BY from_segment")
 
+
+
+def _active_cells(s, d):
+    """The cells of the matrix without the columns that no one moves to."""
+    matrix = transitions.active_targets(transitions.compute_transition_matrix(events(s, d)))
+    targets = [c for c in matrix.columns if c != "from_segment"]
+    return matrix.unpivot(["from_segment"], targets, "to_segment", "prob")
+
+
+add("t10_active_targets", _active_cells, """
+SELECT f.from_segment, g.to_segment, COALESCE(t.prob, 0.0) AS prob
+FROM (SELECT DISTINCT from_segment FROM trans) f
+CROSS JOIN (SELECT to_segment FROM trans GROUP BY to_segment HAVING SUM(prob) > 0) g
+LEFT JOIN trans t ON t.from_segment = f.from_segment AND t.to_segment = g.to_segment""")
+
 add("t11_matrix_cells",
     lambda s, d: transitions.matrix_cells(transitions.transition_probabilities(events(s, d))), """
 SELECT from_segment, to_segment,

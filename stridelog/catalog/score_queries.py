@@ -430,6 +430,22 @@ add("r04_kpi_row", lambda s, d: report.kpi_row(feature_store(s, d)), """
 SELECT COUNT(*) AS labelled_users, CAST(SUM(will_upgrade_in_7d) AS BIGINT) AS upgraders,
   round(AVG(will_upgrade_in_7d) * 100, 2) AS upgrade_rate_pct FROM fs""")
 
+
+
+def _kpis_with_aucs(s, d):
+    """The KPI row with AUCs as a training run's metadata has them, here of the fixed score."""
+    auc = F.round("roc_auc", 4)
+    metadata = metrics.rank_metrics(scored_users(s, d)).select(
+        auc.alias("oof_auc"), auc.alias("test_auc"))
+    return report.kpi_row(feature_store(s, d), metadata)
+
+
+add("r04_kpi_row_with_aucs", _kpis_with_aucs, f"""
+SELECT COUNT(*) AS labelled_users, CAST(SUM(will_upgrade_in_7d) AS BIGINT) AS upgraders,
+  round(AVG(will_upgrade_in_7d) * 100, 2) AS upgrade_rate_pct,
+  (SELECT round(({PAIRS_SQL}), 4)) AS oof_auc, (SELECT round(({PAIRS_SQL}), 4)) AS test_auc
+FROM fs""")
+
 add("r05_descriptive_stats", lambda s, d: report.descriptive_stats(feature_store(s, d)),
     " UNION ALL ".join(
         f"SELECT '{c}' AS feature, round(AVG({c}), 2) AS mean,"

@@ -43,6 +43,7 @@ CORE_EVENTS = (
     "agent_tool_call_get_block_tool",
 )
 
+# Events that count as friction.
 FRICTION_EVENTS = ("$exception",)
 
 # No sharing or invitation event is known; a caller with such events passes them in.

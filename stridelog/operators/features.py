@@ -27,14 +27,14 @@ from stridelog.sources.events import clean_raw, session_of, with_timestamps
 
 WINDOW_DAYS = (7, 14, 30)
 
-# Feature column -> the event it counts.
+# Feature column -> the event it counts.
 EVENT_COUNTS = {
     "ai_generation_count": "$ai_generation",
     "run_block_count": "run_block",
     "agent_chat_count": "agent_new_chat",
 }
 
-# The same for the depth columns of the unlabelled feature table.
+# The same for the depth columns of the unlabelled feature table.
 DEPTH_COUNTS = {
     "depth_agent_new_chat_count": "agent_new_chat",
     "depth_ai_generation_count": "$ai_generation",

@@ -25,6 +25,7 @@ SWEEP_START, SWEEP_STEP, SWEEP_POINTS = 0.1, 0.05, 17
 # Score bands as (lowest score, name); not the same as the lead tiers.
 SCORE_BANDS = ((0.8, "HOT_LEAD"), (0.5, "WARM_LEAD"), (0.2, "NURTURE"), (0.0, "COLD"))
 
+# Edges of the calibration ranges.
 CUSTOM_EDGES = (0.0, 0.1, 0.2, 0.3, 0.5, 0.7, 1.0)
 HISTOGRAM_BINS = 50
 CALIBRATION_BINS = 10

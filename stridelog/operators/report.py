@@ -12,6 +12,7 @@ from stridelog.functions.columns import long_form, safe_ratio, share_pct
 from stridelog.functions.ordered import exact_quantiles
 from stridelog.operators.segments import UNKNOWN_ACTION, UNKNOWN_LIKELIHOOD, definitions
 
+# The columns that descriptive statistics cover.
 DESCRIBED = (
     "total_events", "unique_event_types", "active_days", "events_last_30d",
     "feature_breadth", "friction_ratio", "ai_generation_count", "run_block_count",

@@ -79,20 +79,23 @@ SEGMENT_DEFINITIONS = (
 )
 SEGMENT_ORDER = tuple(d[0] for d in SEGMENT_DEFINITIONS)
 
-# What a report says about a segment without a definition.
+# What a report says about a segment without a definition.
 UNKNOWN_ACTION = "Review and classify manually"
 UNKNOWN_LIKELIHOOD = "Unknown"
 
+# The columns segmentation needs.
 REQUIRED_COLUMNS = (
     "hit_aha_moment", "feature_breadth", "ai_generation_count", "run_block_count",
     "agent_chat_count", "unique_event_types", "total_events", "active_days",
     "days_since_last_event", "days_since_first_event",
 )
 
+# The columns whose means describe a segment.
 STAT_MEANS = (
     "active_days", "feature_breadth", "friction_ratio", "unique_event_types",
     "total_events", "hit_aha_moment", "ai_generation_count",
 )
+# Further columns whose means are given where they exist.
 OPTIONAL_MEANS = ("upgrade_probability", LABEL)
 
 
@@ -103,7 +106,7 @@ def _rule(text: str) -> str:
 # The rules as shown are plain predicates over the columns, so they are also what runs.
 FUNNEL_RULES = tuple((d[0], _rule(d[1])) for d in SEGMENT_DEFINITIONS)
 
-# A coarser funnel of five stages; deepest stage first.
+# A coarser funnel of five stages; deepest stage first.
 FIVE_STAGE_RULES = (
     ("Power User", "total_events > 200 AND feature_breadth > 8"),
     ("Code Runner", "run_block_count > 10"),
