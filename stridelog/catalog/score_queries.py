@@ -160,12 +160,16 @@ add("m13_importance_share",
 
 
 def _importance_checks(s, d):
-    """Importances are shares of one, from the largest, for every feature."""
+    """Importances are shares of one, from the largest, for every feature.
+
+    With too few rows for a single split all of them are 0.
+    """
     order = Window.orderBy("rank")  # a row per feature
     rows = propensity.feature_importance(model(s, d), s).withColumn(
         "_less", F.lead("importance").over(order))
     return rows.agg(
-        F.count(F.lit(1)).alias("n"), (F.abs(F.sum("share") - 1) < 1e-9).alias("shares_add_up"),
+        F.count(F.lit(1)).alias("n"),
+        ((F.abs(F.sum("share") - 1) < 1e-9) | (F.sum("importance") == 0)).alias("shares_add_up"),
         F.bool_and(F.col("importance") >= F.coalesce("_less", F.lit(0.0))).alias("in_order"))
 
 
