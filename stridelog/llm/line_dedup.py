@@ -57,11 +57,14 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         firsts.groupBy(*_KEY).agg(F.count("_first").alias("_docs"))
         .where(F.col("_docs") >= min_docs).select(*_KEY)
     )
-    # A frequent key meets its lines in pieces, as its lines may be a third of all.
+    # A frequent key meets its lines in pieces, as its lines may be a third of all. The piece is
+    # taken in the join itself, so that both uses of ``ranged`` have the same columns and share
+    # one exchange.
     pieces = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("_piece")
+    cut = frequent.select(F.col("_h1").alias("_f1"), F.col("_h2").alias("_f2"), pieces)
     words = (
-        ranged.withColumn("_piece", F.pmod("_d1", F.lit(PIECES)).cast("int"))
-        .join(frequent.select(*_KEY, pieces), [*_KEY, "_piece"])
+        ranged.join(cut, (F.col("_h1") == F.col("_f1")) & (F.col("_h2") == F.col("_f2"))
+                    & (F.pmod("_d1", F.lit(PIECES)) == F.col("_piece")))
         .groupBy(*_DOC, F.floor(F.col("pos") / WORD).cast("int").alias("_word"))
         .agg(F.bit_or(_shift("shiftleft", F.lit(1).cast("long"), F.col("pos") % WORD)).alias("_bits"))
     )
