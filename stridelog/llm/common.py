@@ -13,8 +13,8 @@ from stridelog.session import new_path
 
 # Rows and bytes handed to a Python worker at once; a worker cuts these further by text size.
 _ARROW = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 
 # A table of at most this many rows of a few numbers may be broadcast.
