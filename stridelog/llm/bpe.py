@@ -33,7 +33,7 @@ _PIECE = regex.compile(
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 # Entries a worker remembers before it starts afresh: words, and pairs of tokens.
-MAX_WORDS, MAX_PAIRS = 1_000_000, 2_000_000
+MAX_WORDS, MAX_PAIRS = 500_000, 1_000_000
 
 
 def _byte_chars() -> dict[str, int]:
