@@ -2,9 +2,9 @@
 
 A page is parsed into a tree. For each node the composite density is its characters per tag,
 adjusted for how much of its text stands in links. The sum of its children's densities says how
-much of the main text a node holds together; the node of the largest sum is the main content.
-The least density on the path from the body to that node is the threshold by which other parts
-beside that path are taken in as well.
+much of the main text a node holds together; the node of the largest sum is where the main content is
+found. From there the page is climbed to the highest part around it that holds further content of
+the same kind, and that part is taken with all its content; see ``chosen_nodes``.
 """
 
 from __future__ import annotations
@@ -167,27 +167,48 @@ class Page:
         return out
 
 
-def densities(page: Page, content: list[bool]) -> list[float]:
+class Counts:
+    """Characters and tags below every node, all and in links, and nodes with a text of their own;
+    0 for nodes that do not count."""
+
+    def __init__(self, page: Page, content: list[bool]) -> None:
+        size = len(page.tag)
+        self.chars, self.tags = chars, tags = [0] * size, [0] * size
+        self.link_chars, self.link_tags = link_chars, link_tags = [0] * size, [0] * size
+        self.holders = holders = [0] * size
+        for node in range(size - 1, -1, -1):
+            if not content[node]:
+                continue
+            own = sum(len(x.strip()) for x in page.inside[node] if isinstance(x, str))
+            chars[node] += own
+            holders[node] += own > 0
+            if page.tag[node] == "a":
+                link_chars[node], link_tags[node] = chars[node], tags[node] + 1
+            above = page.parent[node]
+            if above >= 0:
+                chars[above] += chars[node]
+                holders[above] += holders[node]
+                tags[above] += tags[node] + 1
+                link_chars[above] += link_chars[node]
+                link_tags[above] += link_tags[node]
+
+    def is_text(self, node: int) -> bool:
+        """Whether a node has text, most of it outside links."""
+        return 0 <= 2 * self.link_chars[node] < self.chars[node]
+
+    def plain(self, node: int) -> float:
+        """Characters outside links per node with text, whatever the size and the wrappers."""
+        return (self.chars[node] - self.link_chars[node]) / max(self.holders[node], 1)
+
+
+def densities(page: Page, content: list[bool], counts: Counts) -> list[float]:
     """Composite density of every node; 0 for nodes that do not count."""
     size = len(page.tag)
-    chars, tags = [0] * size, [0] * size
-    link_chars, link_tags = [0] * size, [0] * size
-    for node in range(size - 1, -1, -1):
-        if not content[node]:
-            continue
-        chars[node] += sum(len(x.strip()) for x in page.inside[node] if isinstance(x, str))
-        if page.tag[node] == "a":
-            link_chars[node], link_tags[node] = chars[node], tags[node] + 1
-        above = page.parent[node]
-        if above >= 0:
-            chars[above] += chars[node]
-            tags[above] += tags[node] + 1
-            link_chars[above] += link_chars[node]
-            link_tags[above] += link_tags[node]
-    share = link_chars[0] / max(chars[0], 1)
+    share = counts.link_chars[0] / max(counts.chars[0], 1)
     out = [0.0] * size
     for node in range(size):
-        c, t, lc, lt = chars[node], max(tags[node], 1), link_chars[node], link_tags[node]
+        c, t = counts.chars[node], max(counts.tags[node], 1)
+        lc, lt = counts.link_chars[node], counts.link_tags[node]
         if content[node] and c:
             # One is added to the base, which would be 1 on a page without links.
             base = 1 + math.log(c / max(c - lc, 1) * lc + share * c + math.e)
@@ -197,9 +218,17 @@ def densities(page: Page, content: list[bool]) -> list[float]:
 
 
 def chosen_nodes(page: Page) -> tuple[set[int], list[bool]]:
-    """The nodes whose text is the main text, and which nodes count as content at all."""
+    """The nodes whose text is the main text, and which nodes count as content at all.
+
+    The way up from the best node, or from an article around it, ends at the highest node with another child like
+    it: an article or its wrapper, or else one of no less than half (a heading and a paragraph) of
+    the least characters per node with text on the path. That node is taken as a whole, and so is a ``main``. Only children before the first and
+    after the last such one must be text by their element: headings, paragraphs, lists, tables and
+    sections are, divs and lists of links are not.
+    """
     content = page.content_nodes()
-    density = densities(page, content)
+    counts = Counts(page, content)
+    density = densities(page, content, counts)
     total = [0.0] * len(page.tag)
     for node in range(1, len(page.tag)):
         total[page.parent[node]] += density[node]
@@ -208,13 +237,47 @@ def chosen_nodes(page: Page) -> tuple[set[int], list[bool]]:
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
     threshold = min(density[n] for n in path)
+    least = min(counts.plain(n) for n in path) / 2
+
+    articles = [n for n in path if page.tag[n] == "article"]
+    with_article = [tag == "article" for tag in page.tag]
+    for node in range(len(page.tag) - 1, 0, -1):
+        if with_article[node] and content[node]:
+            with_article[page.parent[node]] = True
+
+    def alike(node: int) -> bool:
+        if not counts.is_text(node):
+            return False
+        return with_article[node] if articles else counts.plain(node) >= least
+
+    def is_prose(node: int) -> bool:
+        return counts.is_text(node) and page.tag[node] not in ("div", "section")
 
-    # An article around the best node is taken as a whole.
-    for above in path:
-        if page.tag[above] == "article":
-            return {above}, content
-    chosen, previous = {best}, best
-    for above in path[1:]:
+    way = path[path.index(articles[-1]):] if articles else path
+    top, alone = 0, True
+    for i, above in enumerate(way[1:], 1):
+        others = [x for x in page.inside[above]
+                  if (x.strip() if isinstance(x, str)
+                      else x != way[i - 1] and content[x] and counts.chars[x])]
+        parts = [x for x in others if isinstance(x, int)]
+        if any(map(alike, parts)):
+            top = i
+        elif not articles and (page.tag[above] == "main" or alone and (
+                len(parts) < len(others) or any(map(is_prose, parts)))):
+            top = i
+        alone = alone and not others
+    for i in range(1, top + 1):
+        parts = [x for x in page.inside[way[i]] if isinstance(x, int) and content[x]]
+        places = [j for j, x in enumerate(parts) if x == way[i - 1] or alike(x)]
+        for j, x in enumerate(parts):
+            if not places[0] <= j <= places[-1]:
+                content[x] = (page.tag[x] in HEADINGS if articles else
+                              is_prose(x) or page.tag[x] == "section" and counts.is_text(x))
+    chosen = {way[top]}
+    if articles:
+        return chosen, content
+    previous = way[top]
+    for above in way[top + 1:]:
         before = True
         for x in page.inside[above]:
             if x == previous and not isinstance(x, str):

@@ -60,6 +60,35 @@ def test_deep_and_long_pages():
     assert main_text(f"<article>{many}</article>").count("\n") == 19999
 
 
+LONG = "<p>" + "A sentence of the text that goes on for a while. " * 4 + "</p>"
+LINE = ("A sentence of the text that goes on for a while. " * 4).strip()
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    # Sections without an article around them.
+    (f"<div><section>{LONG * 5}</section><section>{LONG}</section></div>", [LINE] * 6),
+    (f"<div><div>{LONG}</div><div>{LONG * 5}</div><div>{LONG}</div></div>", [LINE] * 7),
+    (f"<div><div><section>{LONG * 5}</section></div><div><section>{LONG}</section></div></div>",
+     [LINE] * 6),
+    (f"<div><section>{LONG * 5}</section><h2>Results</h2><div>Brief.</div><section>{LONG}</section>"
+     "<p>The end.</p></div>", [*[LINE] * 5, "Results", "Brief.", LINE, "The end."]),
+    (f"<main><section>{LONG * 5}</section><section><h2>End</h2><p>Brief.</p></section></main>",
+     [*[LINE] * 5, "End", "Brief."]),
+    # What comes after the best block.
+    (f"<div><h1>T</h1><div>{LONG * 5}</div><h2>Sizes</h2><ul><li>One</ul><table><tr><td>1"
+     "<td>2</table><p>Done.</p></div>", ["T", *[LINE] * 5, "Sizes", "One", "1", "2", "Done."]),
+    # Several articles.
+    (f"<main><article>{LONG * 5}</article><article>{LONG}</article></main>", [LINE] * 6),
+    (f"<main><h1>T</h1><div><article>{LONG}</article></div><div><article>{LONG * 5}</article></div>"
+     "</main>", ["T", *[LINE] * 6]),
+    # Links and small parts around stay out.
+    (f"<div><div>{LONG * 5}</div><div><a>One</a> <a>Two</a></div></div>"
+     "<div><p>Of the site.</p></div>", [LINE] * 5),
+])
+def test_text_in_several_parts(page, text):
+    assert main_text(f"<body>{page}</body>") == "\n".join(text)
+
+
 def plain(page):
     """The article of the given pages, which all have one layout."""
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
