@@ -50,12 +50,21 @@ NO_CONTENT_WORDS = set(
     "promotion recommended related replies respond search share sharing sidebar signup skip "
     "social sponsor sponsored subscribe subscription toolbar widget widgets".split())
 HEADER_WORDS = set("header masthead topbar".split())
+# Parts of a name that say nothing of its content. A name counts by the words above only if all
+# its other parts are such: "comments-list" does, "comments-open" and "share-prices" do not.
+NEUTRAL_WORDS = set(
+    "area articles bar block body bottom box button buttons col column container content copyright "
+    "desktop facebook fb fixed form gdpr global google group holder icons inner item items left "
+    "link links list main mobile next outer page panel post posts previous primary reading right "
+    "row secondary section site slot small sticky stories strip text thread top twitter unit wrap "
+    "wrapper".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(
+    r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_WORD = re.compile(r"[a-z]{2,}")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -65,6 +74,7 @@ class Page:
     def __init__(self, source: str) -> None:
         self.tag, self.parent, self.inside = ["html"], [-1], [[]]
         self.attributes = [""]
+        self._most: tuple[list[int], list[int]] | None = None
         self._stack = [0]
         self._parse(source)
 
@@ -133,37 +143,68 @@ class Page:
                 at = end.end() if end else len(source)
                 self._stack.pop()
 
-    def _no_content(self, node: int, in_article: bool) -> bool:
+    def _majorities(self) -> tuple[list[int], list[int]]:
+        """Characters below every node, without elements that are no content, and those of them
+        that stand in an article or main."""
+        size = len(self.tag)
+        chars, in_articles = [0] * size, [0] * size
+        for node in range(size - 1, -1, -1):
+            chars[node] += sum(len(x.strip()) for x in self.inside[node] if isinstance(x, str))
+            if self.tag[node] in ("article", "main"):
+                in_articles[node] = chars[node]
+            above = self.parent[node]
+            if above >= 0 and self.tag[node] not in NO_CONTENT:
+                chars[above] += chars[node]
+                in_articles[above] += in_articles[node]
+        return chars, in_articles
+
+    def _holds_most(self, node: int) -> bool:
+        """Whether a node has most of the page's text, and every article or main."""
+        if self._most is None:
+            self._most = self._majorities()
+        chars, in_articles = self._most
+        return 2 * chars[node] > chars[0] and in_articles[node] == in_articles[0]
+
+    def _no_content(self, node: int, in_article: bool, rules: int) -> bool:
         tag = self.tag[node]
-        if tag in NO_CONTENT:
+        if tag in RAW:
             return True
-        if tag == "header" and not in_article:
+        if rules > 0 and (tag in NO_CONTENT or (tag == "header" and not in_article)):
             return True
         if not self.attributes[node]:
             return False
-        words: set[str] = set()
+        names: list[str] = []
         for name, *values in _ATTRIBUTE.findall(self.attributes[node]):
             name, value = name.lower(), "".join(values)
             if name in ("class", "id"):
-                words.update(_WORD.findall(value.lower()))
-            elif name == "role" and value.lower() in NO_CONTENT_ROLES:
+                names.extend(value.lower().split())
+            elif name == "role" and rules > 0 and value.lower() in NO_CONTENT_ROLES:
                 return True
             elif name == "style" and _HIDDEN.search(value):
                 return True
-            elif name == "aria-hidden" and value.lower() == "true":
+            elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                 return True
-        if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", self.attributes[node]):
-            return True
-        return bool(words & NO_CONTENT_WORDS) or (not in_article and bool(words & HEADER_WORDS))
-
-    def content_nodes(self) -> list[bool]:
-        """Which nodes are not, and are not inside, a part that is no content by its name."""
+        if rules < 2 or tag in ("article", "main"):
+            return False
+        marks = NO_CONTENT_WORDS if in_article else NO_CONTENT_WORDS | HEADER_WORDS
+        for name in names:
+            words = set(_WORD.findall(name))
+            if words & marks and words <= marks | NEUTRAL_WORDS:
+                return not self._holds_most(node)
+        return False
+
+    def content_nodes(self, rules: int = 2) -> list[bool]:
+        """Which nodes are not, and are not inside, a part that is no content.
+
+        Hidden parts never are. With ``rules`` of 1 elements and roles count as well, and with 2
+        also names, but for those of an article and of a part with most of the text.
+        """
         inside_article = [False] * len(self.tag)
         out = [True] * len(self.tag)
         for node in range(1, len(self.tag)):  # parents come before their children
             above = self.parent[node]
             inside_article[node] = inside_article[above] or self.tag[above] in ("article", "main")
-            out[node] = out[above] and not self._no_content(node, inside_article[node])
+            out[node] = out[above] and not self._no_content(node, inside_article[node], rules)
         return out
 
 
@@ -220,14 +261,18 @@ def densities(page: Page, content: list[bool], counts: Counts) -> list[float]:
 def chosen_nodes(page: Page) -> tuple[set[int], list[bool]]:
     """The nodes whose text is the main text, and which nodes count as content at all.
 
-    The way up from the best node, or from an article around it, ends at the highest node with another child like
+    Where no text is left, names are no longer heeded, then elements and roles. The way up from
+    the best node, or from an article around it, ends at the highest node with another child like
     it: an article or its wrapper, or else one of no less than half (a heading and a paragraph) of
     the least characters per node with text on the path. That node is taken as a whole, and so is a ``main``. Only children before the first and
     after the last such one must be text by their element: headings, paragraphs, lists, tables and
     sections are, divs and lists of links are not.
     """
-    content = page.content_nodes()
-    counts = Counts(page, content)
+    for rules in (2, 1, 0):
+        content = page.content_nodes(rules)
+        counts = Counts(page, content)
+        if counts.chars[0]:
+            break
     density = densities(page, content, counts)
     total = [0.0] * len(page.tag)
     for node in range(1, len(page.tag)):

@@ -89,6 +89,30 @@ def test_text_in_several_parts(page, text):
     assert main_text(f"<body>{page}</body>") == "\n".join(text)
 
 
+@pytest.mark.parametrize("tag", [
+    "section title='The hidden valley'", "article aria-label='A hidden cost'", "div data-hidden=1",
+    "div class='post comments-open'", "div class='layout has-sidebar'", "div id='share-prices'",
+    "div class=notice-period", "div class=search-result", "div class=sidebar", "article class=ad",
+    "main class=menu"])
+def test_names_do_not_hide_the_text(tag):
+    name = tag.split()[0]
+    assert main_text(f"<body><{tag}>{LONG * 3}</{name}></body>") == "\n".join([LINE] * 3)
+    if "=sidebar" not in tag:
+        text = f"<p>Of the site.</p><div>{LONG * 2}<{tag}>{LONG}</{name}></div>"
+        assert main_text(f"<body>{text}</body>").count(LINE) == 3
+
+
+def test_long_comments_and_hidden_parts_stay_out_and_names_alone_leave_no_page_empty():
+    comments = f"<section class=comments-list>{LONG * 9}</section>"
+    assert main_text(f"<article>{LONG}</article>{comments}") == LINE
+    assert main_text(f"<article>{LONG}{comments}</article>") == LINE
+    assert main_text(f"<div hidden>{LONG}</div><div HIDDEN=''>{LONG}</div><p>x</p>") == "x"
+    assert main_text(f"<form>{LONG}</form>") == LINE
+    both = f"<div class=menu>{LONG}</div><div class=footer>{LONG}</div>"
+    assert main_text(both) == f"{LINE}\n{LINE}"
+    assert main_text(f"<div style='display:none'>{LONG}</div>") == ""
+
+
 def plain(page):
     """The article of the given pages, which all have one layout."""
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
