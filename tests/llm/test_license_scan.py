@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
+
 from helpers import documents, some_texts, with_odd_columns
 from pyspark.sql import functions as F
 
-from stridelog.llm.license_scan import parts_of, scan, words_of
+from stridelog.llm.license_scan import Templates, parts_of, scan, words_of
 from stridelog.llm.license_templates import NOTICES, TEMPLATES, TEXTS
 
 
@@ -47,3 +49,53 @@ def test_nulls_repeats_odd_columns_own_templates_and_empty_tables(spark):
     assert scan(docs, templates=[]).count() == 0
     assert scan(docs, templates=[("one", "word"), ("own", "under the MIT")]).count() == 0
     assert scan(docs.where("false")).count() == 0
+
+
+def best_spans(text, templates, threshold):
+    """Each licence's best score over all runs of words, each compared by itself."""
+    words, out = words_of(text), {}
+    for name, wording in templates:
+        w = words_of(wording)
+        b = set(zip(w, w[1:]))
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                a = set(zip(words[i:j], words[i + 1:j]))
+                score = 2 * len(a & b) / (len(a) + len(b))
+                if score >= threshold:
+                    out[name] = max(out.get(name, 0), score)
+    return out
+
+
+def test_all_runs_of_words():
+    draw, n_inner = random.Random(7), 0
+    for _ in range(300):
+        templates = [(f"L{i % 4}", " ".join(draw.sample("abcdefghijklm", k=draw.randint(4, 12))))
+                     for i in range(6)]
+        words = draw.choices("abcdefghij", k=draw.randint(0, 15))
+        for _, wording in draw.choices(templates, k=draw.randint(0, 2)):
+            words += [*wording.split()[draw.randint(0, 1):], *draw.choices("abcxyz", k=5)]
+        text = "".join(w + draw.choice([" ", " ", " ", "\n", "\n\n"]) for w in words)
+        threshold = draw.choice([0.6, 0.8, 1.0])
+        want = best_spans(text, templates, threshold)
+        known = Templates(templates, threshold)
+        found = {name: score for span in known.spans(words_of(text), set())
+                 for name, score in sorted(known.match(span), key=lambda m: m[1])}
+        assert set(found) == set(want)
+        assert {m[0] for _, ms in known.read(text) for m in ms} == set(want)
+        best = {}
+        for span in known.spans(words_of(text), set()):
+            for name, score in known.match(span):
+                best[name] = max(best.get(name, 0), score)
+        assert best == want
+        n_inner += bool(want)
+    assert n_inner > 100
+
+
+def test_licences_inside_longer_texts(spark):
+    around = " ".join(f"word{i}" for i in range(300))
+    inner = ["This dataset is released under the MIT License by its authors in Berlin.",
+             f"{around}\n\n{TEXTS['MIT']}\n\n{around}",
+             " ".join(f"{around} {TEXTS['ISC']} {around}".split())]
+    rows = scan(documents(spark, inner)).collect()
+    assert [(r["doc_id"], r["license"], r["score"], r["n_parts"]) for r in rows] == [
+        (0, "MIT", 1.0, 1), (1, "MIT", 1.0, 1), (2, "ISC", 1.0, 1)]
