@@ -1,5 +1,7 @@
 """The wording of common licences and of the notices that name them."""
 
+from stridelog.llm.license_texts import FULL_TEXTS
+
 NOTICES = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -81,5 +83,42 @@ see <https://www.gnu.org/licenses/>.
 """,
 }
 
+_GNU = """
+This {kind} is free software; you can redistribute it and/or modify it under the terms of the GNU
+{name} as published by the Free Software Foundation; either version {version} of the License, or
+(at your option) any later version.
+
+This {kind} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}
+for more details.
+
+You should have received a copy of the GNU {name} along with this {kind}; if not, {where}
+"""
+_ADDRESS = ("write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, "
+            "MA 02110-1301 USA.")
+
+# The headers that files of a project carry, and the usual sentences of Creative Commons.
+HEADERS = {
+    "GPL-2.0": _GNU.format(kind="program", name="General Public License", version="2",
+                           where=_ADDRESS),
+    "LGPL-2.1": _GNU.format(kind="library", name="Lesser General Public License", version="2.1",
+                            where=_ADDRESS),
+    "LGPL-3.0": _GNU.format(kind="library", name="Lesser General Public License", version="3",
+                            where="see <https://www.gnu.org/licenses/>."),
+    "AGPL-3.0": _GNU.format(kind="program", name="Affero General Public License", version="3",
+                            where="see <https://www.gnu.org/licenses/>."),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, "
+               "v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain "
+               "one at http://mozilla.org/MPL/2.0/.",
+}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+CC_SHORT = {f"CC-{k}-4.0": f"Licensed under CC {k} 4.0." for k in _CC if k != "BY-NC"}
+CC_LONG = {f"CC-{k}-4.0": "This work is licensed under a Creative Commons "
+                          f"{name} 4.0 International License." for k, name in _CC.items()}
+
 # (licence, wording); a licence may have several.
-TEMPLATES: list[tuple[str, str]] = [*NOTICES.items(), *TEXTS.items()]
+TEMPLATES: list[tuple[str, str]] = [
+    *NOTICES.items(), *TEXTS.items(), *HEADERS.items(), *CC_SHORT.items(), *CC_LONG.items(),
+    *FULL_TEXTS.items()]

@@ -6,7 +6,8 @@ from helpers import documents, some_texts, with_odd_columns
 from pyspark.sql import functions as F
 
 from stridelog.llm.license_scan import Templates, parts_of, scan, words_of
-from stridelog.llm.license_templates import NOTICES, TEMPLATES, TEXTS
+from stridelog.llm.license_templates import CC_LONG, HEADERS, NOTICES, TEMPLATES, TEXTS
+from stridelog.llm.license_texts import FULL_TEXTS
 
 
 def plain(text, threshold=0.8):
@@ -99,3 +100,20 @@ def test_licences_inside_longer_texts(spark):
     rows = scan(documents(spark, inner)).collect()
     assert [(r["doc_id"], r["license"], r["score"], r["n_parts"]) for r in rows] == [
         (0, "MIT", 1.0, 1), (1, "MIT", 1.0, 1), (2, "ISC", 1.0, 1)]
+
+
+def test_full_texts_and_headers_of_common_licences(spark):
+    around = " ".join(f"word{i}" for i in range(300))
+    names = ("Apache-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MPL-2.0 CC0-1.0 CC-BY-3.0 CC-BY-SA-3.0 "
+             "CC-BY-SA-4.0 BSD-3-Clause Unlicense GFDL-1.3 Artistic-1.0").split()
+    headers = "GPL-2.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-2.0 CC-BY-4.0 CC-BY-NC-SA-4.0".split()
+    wanted = [(n, FULL_TEXTS[n]) for n in names] + [(n, {**CC_LONG, **HEADERS}[n]) for n in headers]
+    texts = [t for _, t in wanted] + [f"{around} {t} {around}" for _, t in wanted]
+    rows = scan(documents(spark, texts)).collect()
+    best = {}
+    for r in rows:
+        best.setdefault(r["doc_id"], set()).add((r["score"], r["license"]))
+    for i in range(len(texts)):
+        score = max(best[i])[0]
+        assert score == 1.0 or i >= len(wanted)
+        assert (score, wanted[i % len(wanted)][0]) in best[i]
