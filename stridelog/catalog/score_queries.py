@@ -85,12 +85,13 @@ add("m06_best_iterations", lambda s, d: oof(s, d)[1])
 
 
 def _stopping_checks(s, d):
-    """The best round is that of the least recorded loss, and no more rounds than asked ran."""
+    """The best round is that of the least recorded loss, and is not the last that may run."""
     at = F.col("losses")[F.col("best_iteration") - 1]
     before = F.slice("losses", 1, propensity.PATIENCE)
     return oof(s, d)[1].select(
         "fold", (at <= F.array_min(before)).alias("best_so_far"),
-        (F.col("rounds") <= propensity.TREES).alias("within_rounds"),
+        ((F.col("rounds") <= propensity.TREES)
+         & (F.col("best_iteration") < propensity.TREES)).alias("within_rounds"),
         (F.size("losses") == F.col("rounds")).alias("all_recorded"))
 
 

@@ -23,9 +23,10 @@ FOLD = "fold"
 PROBA = "y_pred_proba"
 SAMPLE_ROWS = 1000
 
-# Boosting settings. Each tree costs several jobs; a long run may ask for a thousand trees and a
-# patience of a hundred.
-TREES, PATIENCE, DEPTH, STEP, SHARE, LEAF_ROWS = 60, 20, 5, 0.05, 0.8, 20
+# Boosting settings. Trees are fitted in rounds until patience runs out; each costs several jobs.
+TREES, PATIENCE, DEPTH, STEP, SHARE, LEAF_ROWS = 1000, 100, 5, 0.05, 0.8, 20
+# Rounds beyond the patience in the first fit, and rounds that are scored at once.
+ROUNDS = 20
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class PropensityModel:
     features: tuple[str, ...]
     medians: DataFrame
     pipeline: PipelineModel
-    losses: tuple[float, ...] = ()  # of the validation rows after each tree, where they were given
+    losses: tuple[float, ...] = ()  # 1 - AUC of the validation rows, if given, after each tree
 
     @property
     def trees(self) -> GBTClassificationModel:
@@ -117,9 +118,10 @@ def fit(train: DataFrame, features: Sequence[str], validation: DataFrame | None
         trees: int = TREES, seed: int = SEED, patience: int = PATIENCE) -> PropensityModel:
     """Fit medians and trees on ``train``.
 
-    With ``validation`` its loss is taken after every tree, and the number of trees is the best
-    one found before ``patience`` rounds went by without a better; see ``best_round``. Trees are
-    drawn from seeds in a row, so fitting again with fewer gives the first ones.
+    With ``validation`` its AUC is taken after every tree, and the number of trees is the best
+    one found before ``patience`` rounds went by without a better; see ``best_round``. Fits double
+    their trees until then. Trees are drawn from seeds in a row, so that a fit with more begins
+    with those of the one before.
     """
     medians = written_once(_wide(feature_medians(train, features), features), "medians")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
@@ -136,17 +138,48 @@ def fit(train: DataFrame, features: Sequence[str], validation: DataFrame | None
             featureSubsetStrategy=str(SHARE), minInstancesPerNode=LEAF_ROWS, seed=seed,
         ).fit(rows)
 
-    rows, losses = inputs(train).persist(), None
+    rows, losses = inputs(train).persist(), []
     try:
-        model = boosted(rows, trees)
-        if validation is not None:
-            losses = model.evaluateEachIteration(inputs(validation))
-            best = best_round(losses, patience)
-            model = model if best == trees else boosted(rows, best)
+        if validation is None:
+            model = boosted(rows, trees)
+        else:
+            held_out, count = written_once(inputs(validation), "validation"), patience + ROUNDS
+            while True:
+                model = boosted(rows, min(count, trees))
+                more, held_out = _auc_losses(model, held_out, len(losses))
+                losses += more
+                best = best_round(losses, patience)
+                if len(losses) == trees or len(losses) - best >= patience:
+                    break
+                count *= 2
+            model = model if best == len(losses) else boosted(rows, best)
     finally:
         rows.unpersist()
     return PropensityModel(tuple(features), medians, PipelineModel([assembler, model]),
-                           tuple(losses or ()))
+                           tuple(losses))
+
+
+def _auc_losses(model: GBTClassificationModel, rows: DataFrame,
+                done: int) -> tuple[list[float], DataFrame]:
+    """1 - AUC of ``rows`` after each tree from number ``done`` on, and the rows with the sum of
+    all trees, from which the next call goes on. A group of one class has an AUC of 0."""
+    trees, weights, losses = model.trees, model.treeWeights, []
+    if "_margin" not in rows.columns:
+        rows = rows.withColumn("_margin", F.lit(0.0))
+    for first in range(done, len(trees), ROUNDS):
+        last = min(first + ROUNDS, len(trees))
+        sums, wide = [F.col("_margin")], rows
+        for i in range(first, last):
+            wide = trees[i].setPredictionCol(f"_tree_{i}").transform(wide)
+            sums.append(sums[-1] + F.lit(weights[i]) * F.col(f"_tree_{i}"))
+        rows = written_once(wide.select(
+            "features", LABEL, sums[-1].alias("_margin"), F.array(*sums[1:]).alias("_sums")), "margins")
+        each = rows.select(F.col(LABEL).cast("int").alias("y"),
+                           F.posexplode("_sums").alias("round", "p"))
+        aucs = {r["round"]: r["roc_auc"]
+                for r in metrics.rank_metrics(each, ["round"]).collect()}
+        losses += [1 - (aucs.get(i) or 0.0) for i in range(last - first)]
+    return losses, rows.select("features", LABEL, "_margin")
 
 
 def best_round(losses: Sequence[float], patience: int) -> int:
@@ -176,7 +209,7 @@ def with_probability(model: PropensityModel, filled: DataFrame, name: str) -> Da
 def cross_validate(table: DataFrame, k: int = FOLDS, trees: int = TREES, seed: int = SEED,
                    patience: int = PATIENCE) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold scores ``(person_id, fold, y_true, y_pred_proba)`` and, per fold, the best
-    number of trees, the rounds that were run, and the loss after each.
+    number of trees, the rounds that were run, and the loss (1 - AUC) after each.
 
     Each fold is scored by a model that has seen neither its rows nor their medians.
     """

@@ -174,6 +174,21 @@ def test_early_stopping_cuts_the_trees(spark):
     assert model.n_trees == propensity.best_round(model.losses, 2) < 8
 
 
+def test_boosting_goes_on_until_patience_runs_out_by_auc(spark):
+    df = spark.range(600).selectExpr(
+        "CAST(id AS STRING) AS person_id", "CAST(xxhash64(id, 1) % 50 AS DOUBLE) AS a",
+        "CAST(xxhash64(id, 2) % 50 AS DOUBLE) AS b").selectExpr(
+        "*", "CAST(a + b + pmod(xxhash64(person_id), 20) > 10 AS INT) AS will_upgrade_in_7d")
+    train, held = (df.where(f"CAST(person_id AS INT) {c} 400") for c in ("<", ">="))
+    model = propensity.fit(train, ["a", "b"], held, trees=70, patience=3)
+    n = len(model.losses)
+    assert n == 70 or n - model.n_trees >= 3
+    scores = propensity.scored(model, held).selectExpr("will_upgrade_in_7d AS y", f"{propensity.PROBA} AS p")
+    auc = metrics.rank_metrics(scores).first()["roc_auc"]
+    assert abs(1 - auc - model.losses[model.n_trees - 1]) < 1e-9
+    assert (propensity.TREES, propensity.PATIENCE) == (1000, 100)
+
+
 def test_a_group_of_equal_values_is_one_row(spark):
     df = spark.range(200_000).selectExpr("CAST(IF(id % 10 = 0, id, 7) AS DOUBLE) AS v")
     got = exact_quantiles(df, [], "v", {"low": 0.05, "mid": 0.5, "high": 0.99}).first()
