@@ -1,4 +1,4 @@
-"""Substring dedup: Lempel-Ziv factors of every document relative to an index of all documents.
+"""Substring dedup: windows of 35 words that recur, found by phrases filed under anchor hashes.
 
 The reference is the whole corpus. It is indexed in blocks, which are the hash partitions of its
 phrases: wherever the smallest hash among the 8-word sequences of a 35-word window stays at one
@@ -6,10 +6,9 @@ place, its anchor, the words that these windows cover form a phrase. Equal windo
 anchors, so a window can only recur in the block that holds its anchor, and asking that block is
 asking them all.
 
-A document is parsed from left to right into the longest runs of phrases that the index holds
-whole a second time; such a run is a factor of 35 words or more and a duplicate span. A factor
-ends at a phrase whose anchor recurs in other surroundings. There, at factor boundaries, each
-window is looked up by itself among the windows of the phrases with the same anchor.
+No Lempel-Ziv parse takes place: no factor is formed or extended. Phrases that recur whole are
+duplicate spans by equal hashes. Where a phrase's anchor recurs in other surroundings, each window
+is looked up by itself among the windows of the phrases with the same anchor.
 
 Only hashes are exchanged until the spans of each document are known.
 """
