@@ -33,10 +33,17 @@ def labelled_rows(s, d):
     return training(s, d).where(F.col(SPLIT).isin("train", "validation"))
 
 
+def folds(s: SparkSession, d: str) -> tuple[DataFrame, dict[int, propensity.PropensityModel]]:
+    key = (s.sparkContext.applicationId, d, "folds")
+    if key not in _runs:
+        _runs[key] = propensity.fit_folds(labelled_rows(s, d))
+    return _runs[key]
+
+
 def oof(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     key = (s.sparkContext.applicationId, d, "oof")
     if key not in _runs:
-        _runs[key] = propensity.cross_validate(labelled_rows(s, d))
+        _runs[key] = propensity.out_of_fold(*folds(s, d))
     return _runs[key]
 
 
@@ -193,14 +200,9 @@ add("m12_top_values", _top_values, "SELECT person_id, true AS own_values FROM fs
 
 
 def held_out(s: SparkSession, d: str) -> tuple[propensity.PropensityModel, DataFrame]:
-    """A model of all folds but the first, and the rows of the first, which it has not seen."""
-    key = (s.sparkContext.applicationId, d, "held out")
-    if key not in _runs:
-        rows = stage(s, d, "held-out", lambda: propensity.stratified_folds(labelled_rows(s, d)))
-        trees = propensity.median_iteration(oof(s, d)[1])
-        fitted = propensity.fit(rows.where("fold <> 1"), FEATURES, trees=trees)
-        _runs[key] = fitted, rows.where("fold = 1")
-    return _runs[key]
+    """The model of all folds but the first, and the rows of the first, which it has not seen."""
+    rows, models = folds(s, d)
+    return models[1], rows.where("fold = 1")
 
 
 add("m14_permutation_importance",

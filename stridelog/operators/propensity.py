@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressor,
+)
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +35,15 @@ SAMPLE_ROWS = 1000
 
 # Boosting settings. Trees are fitted in rounds until patience runs out; each costs several jobs.
 TREES, PATIENCE, DEPTH, STEP, SHARE, LEAF_ROWS = 1000, 100, 5, 0.05, 0.8, 20
-# Rounds beyond the patience in the first fit, and rounds that are scored at once.
-ROUNDS = 20
+# A round fits as many trees at once, in the same passes over the rows; each has its own share of
+# rows and features.
+ROUND_TREES = 10
+# Trees between two writings of the margins.
+STORE_TREES = 50
+# The Newton step of one row is held within these bounds, against rows with p near 0 or 1.
+LARGEST_STEP = 4.0
+# Rows per task while boosting.
+TASK_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -118,68 +135,149 @@ def fit(train: DataFrame, features: Sequence[str], validation: DataFrame | None
         trees: int = TREES, seed: int = SEED, patience: int = PATIENCE) -> PropensityModel:
     """Fit medians and trees on ``train``.
 
-    With ``validation`` its AUC is taken after every tree, and the number of trees is the best
-    one found before ``patience`` rounds went by without a better; see ``best_round``. Fits double
-    their trees until then. Trees are drawn from seeds in a row, so that a fit with more begins
-    with those of the one before.
+    With ``validation`` its AUC is taken after every tree, and the model keeps the trees up to
+    the best one found before ``patience`` rounds went by without a better; see ``best_round``.
+    Boosting goes on from the margins it has stored: no tree is fitted twice, and the model kept
+    is a prefix of the trees. The AUCs are asked for only when patience may have run out, so
+    that no more than ``best + patience`` trees are fitted.
     """
     medians = written_once(_wide(feature_medians(train, features), features), "medians")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
 
     def inputs(rows: DataFrame) -> DataFrame:
-        filled = imputed(_weighted(rows, train), medians, features)
-        return assembler.transform(filled).select(
-            "features", F.col(LABEL).cast("double").alias(LABEL), "_weight")
-
-    def boosted(rows: DataFrame, count: int) -> GBTClassificationModel:
-        return GBTClassifier(
-            featuresCol="features", labelCol=LABEL, weightCol="_weight", maxIter=count,
-            maxDepth=DEPTH, stepSize=STEP, subsamplingRate=SHARE,
-            featureSubsetStrategy=str(SHARE), minInstancesPerNode=LEAF_ROWS, seed=seed,
-        ).fit(rows)
-
-    rows, losses = inputs(train).persist(), []
-    try:
-        if validation is None:
-            model = boosted(rows, trees)
-        else:
-            held_out, count = written_once(inputs(validation), "validation"), patience + ROUNDS
-            while True:
-                model = boosted(rows, min(count, trees))
-                more, held_out = _auc_losses(model, held_out, len(losses))
-                losses += more
-                best = best_round(losses, patience)
-                if len(losses) == trees or len(losses) - best >= patience:
-                    break
-                count *= 2
-            model = model if best == len(losses) else boosted(rows, best)
-    finally:
-        rows.unpersist()
+        return assembler.transform(imputed(rows, medians, features)).select(
+            "features", F.col(LABEL).cast("double").alias("_y"), *[c for c in ["_weight"] if c in rows.columns],
+            F.lit(0.0).alias("_margin"))
+
+    boosting = Boosting(inputs(_weighted(train, train)), seed)
+    losses: list[float] = []
+    if validation is None:
+        boosting.grow(trees)
+        best = trees
+    else:
+        held_out, best = inputs(validation), 1
+        while True:
+            boosting.grow(min(best + patience, trees))
+            more, held_out = _auc_losses(boosting.trees, held_out, len(losses))
+            losses += more
+            best = best_round(losses, patience)
+            if len(losses) == trees or len(losses) - best >= patience:
+                break
+    boosting.close()
+    model = boosting.classifier(best, len(features))
     return PropensityModel(tuple(features), medians, PipelineModel([assembler, model]),
                            tuple(losses))
 
 
-def _auc_losses(model: GBTClassificationModel, rows: DataFrame,
+class Boosting:
+    """Boosted regression trees for the logistic loss that can be continued.
+
+    ``rows`` has ``features``, ``_y`` (0 or 1), ``_weight`` and ``_margin``, the log-odds so far.
+    A round fits ``ROUND_TREES`` trees to the Newton step of every row, (y - p) / (p (1 - p)), with
+    the weights times p (1 - p), each over its own share of rows and features. They grow level by
+    level in the same passes, which take most of the time whatever the size of the table. After
+    ``STORE_TREES`` trees the margins are written to the shared folder, so that plans stay short
+    and a lost executor repeats only the rounds since.
+    """
+
+    def __init__(self, rows: DataFrame, seed: int = SEED) -> None:
+        self.seed, self.trees, self._open = seed, [], 0
+        self._rows = self._placed(rows)
+
+    @staticmethod
+    def _placed(rows: DataFrame) -> DataFrame:
+        """Each round is several passes, so the rows stay in memory, in tasks of some size."""
+        tasks = -(-rows.count() // TASK_ROWS)
+        return rows.coalesce(max(tasks, 1)).persist()
+
+    def grow(self, count: int) -> None:
+        """Go on until there are ``count`` trees."""
+        while len(self.trees) < count:
+            if self._open >= STORE_TREES:
+                self._store()
+            more = self._next_trees(min(ROUND_TREES, count - len(self.trees)))
+            self.trees += more
+            self._open += len(more)
+
+    def _with_margin(self) -> DataFrame:
+        """The rows with the margin after all trees."""
+        if not self._open:
+            return self._rows
+        recent = _ensemble(GBTRegressionModel, self.trees[-self._open:], [STEP] * self._open)
+        return recent.setPredictionCol("_step").transform(self._rows).withColumn(
+            "_margin", F.col("_margin") + F.col("_step")).drop("_step")
+
+    def _store(self) -> None:
+        before = self._rows
+        self._rows = self._placed(written_once(self._with_margin(), "margins"))
+        before.unpersist()
+        self._open = 0
+
+    def _next_trees(self, n: int) -> list[DecisionTreeRegressionModel]:
+        p = F.lit(1.0) / (1.0 + F.exp(-F.col("_margin")))
+        slope = F.greatest(F.col("_p") * (1.0 - F.col("_p")), F.lit(1e-6))
+        steps = self._with_margin().withColumn("_p", p).select(
+            "features", (F.col("_weight") * slope).alias("_weight"),
+            F.greatest(F.least((F.col("_y") - F.col("_p")) / slope, F.lit(LARGEST_STEP)),
+                       F.lit(-LARGEST_STEP)).alias("_target"))
+        forest = RandomForestRegressor(
+            featuresCol="features", labelCol="_target", weightCol="_weight", numTrees=n,
+            bootstrap=False, maxDepth=DEPTH, subsamplingRate=SHARE,
+            featureSubsetStrategy=str(SHARE), minInstancesPerNode=LEAF_ROWS,
+            seed=self.seed + len(self.trees)).fit(steps)
+        return list(forest.trees)
+
+    def classifier(self, count: int, n_features: int) -> GBTClassificationModel:
+        """The first ``count`` trees as a model. Spark's takes half the log-odds as margin."""
+        model = _ensemble(GBTClassificationModel, self.trees[:count], [STEP / 2] * count,
+                          n_features, 2)
+        return model.setFeaturesCol("features")
+
+    def close(self) -> None:
+        self._rows.unpersist()
+
+
+def _ensemble(kind: type, trees: Sequence[DecisionTreeRegressionModel],
+              weights: Sequence[float], *sizes: int):
+    """Single trees put together as one of Spark's ensemble models."""
+    jvm = SparkContext.getOrCreate()._jvm
+    package = "classification" if kind is GBTClassificationModel else "regression"
+    tree_class = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    java_kind = getattr(getattr(jvm.org.apache.spark.ml, package), kind.__name__)
+    java_trees = JavaWrapper._new_java_array([t._java_obj for t in trees], tree_class)
+    java_weights = JavaWrapper._new_java_array(
+        [float(w) for w in weights], SparkContext._gateway.jvm.double)
+    return kind(java_kind(f"{kind.__name__}_{uuid.uuid4().hex[:12]}", java_trees, java_weights,
+                          *sizes))
+
+
+def _auc_losses(trees: Sequence[DecisionTreeRegressionModel], rows: DataFrame,
                 done: int) -> tuple[list[float], DataFrame]:
     """1 - AUC of ``rows`` after each tree from number ``done`` on, and the rows with the sum of
-    all trees, from which the next call goes on. A group of one class has an AUC of 0."""
-    trees, weights, losses = model.trees, model.treeWeights, []
-    if "_margin" not in rows.columns:
-        rows = rows.withColumn("_margin", F.lit(0.0))
-    for first in range(done, len(trees), ROUNDS):
-        last = min(first + ROUNDS, len(trees))
-        sums, wide = [F.col("_margin")], rows
-        for i in range(first, last):
-            wide = trees[i].setPredictionCol(f"_tree_{i}").transform(wide)
-            sums.append(sums[-1] + F.lit(weights[i]) * F.col(f"_tree_{i}"))
-        rows = written_once(wide.select(
-            "features", LABEL, sums[-1].alias("_margin"), F.array(*sums[1:]).alias("_sums")), "margins")
-        each = rows.select(F.col(LABEL).cast("int").alias("y"),
-                           F.posexplode("_sums").alias("round", "p"))
-        aucs = {r["round"]: r["roc_auc"]
-                for r in metrics.rank_metrics(each, ["round"]).collect()}
-        losses += [1 - (aucs.get(i) or 0.0) for i in range(last - first)]
-    return losses, rows.select("features", LABEL, "_margin")
+    all trees, from which the next call goes on. A group of one class has an AUC of 0.
+
+    The trees run once, as one model that tells the leaf a row falls into in each of them; the
+    leaves' values, a table of trees times leaves, turn these into running sums.
+    """
+    new = trees[done:]
+    values = F.from_json(F.lit(json.dumps([_leaf_values(t) for t in new])), "ARRAY<ARRAY<DOUBLE>>")
+    model = _ensemble(GBTRegressionModel, new, [STEP] * len(new)).setLeafCol("_leaf")
+    leaves = model.setPredictionCol("_sum").transform(rows).select(
+        "features", "_y", "_margin", vector_to_array("_leaf").alias("_leaf"))
+    steps = leaves.withColumn("_steps", F.transform("_leaf", lambda leaf, i: F.lit(STEP) * F.get(
+        F.get(values, i), leaf.cast("int"))))
+    sums = steps.withColumn("_sums", F.transform("_steps", lambda x, i: F.aggregate(
+        F.slice("_steps", F.lit(1), i + 1), F.col("_margin"), lambda so_far, y: so_far + y)))
+    rows = written_once(sums.select("features", "_y", "_sums"), "margins")
+    each = rows.select(F.col("_y").cast("int").alias("y"), F.posexplode("_sums").alias("tree", "p"))
+    aucs = {r["tree"]: r["roc_auc"] for r in metrics.rank_metrics(each, ["tree"]).collect()}
+    losses = [1 - (aucs.get(i) or 0.0) for i in range(len(new))]
+    return losses, rows.select("features", "_y", F.element_at("_sums", -1).alias("_margin"))
+
+
+def _leaf_values(tree: DecisionTreeRegressionModel) -> list[float]:
+    """The values of a tree's leaves in their order, as the tree's description lists them."""
+    return [float(v) for v in re.findall(r"Predict: (\S+)", tree.toDebugString)]
 
 
 def best_round(losses: Sequence[float], patience: int) -> int:
@@ -206,31 +304,46 @@ def with_probability(model: PropensityModel, filled: DataFrame, name: str) -> Da
     )
 
 
-def cross_validate(table: DataFrame, k: int = FOLDS, trees: int = TREES, seed: int = SEED,
-                   patience: int = PATIENCE) -> tuple[DataFrame, DataFrame]:
-    """Out-of-fold scores ``(person_id, fold, y_true, y_pred_proba)`` and, per fold, the best
-    number of trees, the rounds that were run, and the loss (1 - AUC) after each.
+def fit_folds(table: DataFrame, k: int = FOLDS, trees: int = TREES, seed: int = SEED,
+              patience: int = PATIENCE) -> tuple[DataFrame, dict[int, PropensityModel]]:
+    """The rows with their fold, and for every fold the model of all others, stopped by it.
 
-    Each fold is scored by a model that has seen neither its rows nor their medians.
+    A fold's model has seen neither its rows nor their medians. Folds are independent, so their
+    jobs run side by side.
     """
     features = get_feature_cols(table)
     folded = written_once(stratified_folds(table, k, seed), "folds")
-    parts, best = [], []
-    for fold in range(1, k + 1):
-        held_out = folded.where(F.col(FOLD) == fold)
-        model = fit(folded.where(F.col(FOLD) != fold), features, held_out, trees, seed, patience)
-        best.append((fold, model.n_trees, len(model.losses), list(model.losses)))
-        parts.append(scored(model, held_out).select(
-            USER, FOLD, F.col(LABEL).cast("int").alias("y_true"), PROBA
-        ))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    iterations = table.sparkSession.createDataFrame(
-        best, "fold INT, best_iteration INT, rounds INT, losses ARRAY<DOUBLE>")
+
+    def one(fold: int) -> PropensityModel:
+        return fit(folded.where(F.col(FOLD) != fold), features, folded.where(F.col(FOLD) == fold),
+                   trees, seed, patience)
+
+    folds = range(1, k + 1)
+    with ThreadPoolExecutor(k) as pool:
+        models = list(pool.map(inheritable_thread_target(table.sparkSession)(one), folds))
+    return folded, dict(zip(folds, models))
+
+
+def out_of_fold(folded: DataFrame, models: dict[int, PropensityModel]
+                ) -> tuple[DataFrame, DataFrame]:
+    """Out-of-fold scores ``(person_id, fold, y_true, y_pred_proba)`` and, per fold, the best
+    number of trees, the trees that were fitted, and the loss (1 - AUC) after each."""
+    out = reduce(DataFrame.unionByName, [
+        scored(model, folded.where(F.col(FOLD) == fold)).select(
+            USER, FOLD, F.col(LABEL).cast("int").alias("y_true"), PROBA)
+        for fold, model in models.items()])
+    iterations = folded.sparkSession.createDataFrame(
+        [(fold, m.n_trees, len(m.losses), list(m.losses)) for fold, m in models.items()],
+        "fold INT, best_iteration INT, rounds INT, losses ARRAY<DOUBLE>")
     return written_once(out, "out-of-fold"), iterations
 
 
+def cross_validate(table: DataFrame, k: int = FOLDS, trees: int = TREES, seed: int = SEED,
+                   patience: int = PATIENCE) -> tuple[DataFrame, DataFrame]:
+    """``out_of_fold`` of the models of ``fit_folds``."""
+    return out_of_fold(*fit_folds(table, k, trees, seed, patience))
+
+
 def as_scored(oof: DataFrame) -> DataFrame:
     """Out-of-fold scores in the form the metrics take."""
     return oof.select(USER, FOLD, F.col("y_true").alias("y"), F.col(PROBA).alias("p"))

@@ -170,8 +170,27 @@ def test_early_stopping_cuts_the_trees(spark):
         "CAST(xxhash64(id, 1) % 50 AS DOUBLE) AS a")  # nothing to learn
     model = propensity.fit(df.where("CAST(person_id AS INT) < 400"), ["a"],
                            df.where("CAST(person_id AS INT) >= 400"), trees=8, patience=2)
-    assert len(model.losses) == 8
     assert model.n_trees == propensity.best_round(model.losses, 2) < 8
+    assert len(model.losses) in (8, model.n_trees + 2)  # no tree beyond those patience asks for
+
+
+def test_boosting_goes_on_from_stored_margins(spark):
+    rows = spark.range(500).selectExpr(
+        "CAST(xxhash64(id, 1) % 50 AS DOUBLE) AS a", "CAST(xxhash64(id, 2) % 9 AS DOUBLE) AS b",
+        "1.0D AS _weight", "0.0D AS _margin").selectExpr("*", "CAST(a + b > 3 AS DOUBLE) AS _y")
+    rows = propensity.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    boosting = propensity.Boosting(rows)
+    boosting.grow(propensity.STORE_TREES + propensity.ROUND_TREES)
+    before = boosting.trees[:]
+    boosting.grow(propensity.STORE_TREES + 2 * propensity.ROUND_TREES)
+    assert boosting.trees[:len(before)] == before  # earlier trees stay as they are
+    n = len(boosting.trees)
+    margins = boosting._with_margin().select("features", "_margin")
+    model = boosting.classifier(n, 2)
+    both = model.transform(margins).select(
+        "_margin", (propensity.vector_to_array("rawPrediction")[1] * 2).alias("m"))
+    assert both.where(F.abs(F.col("_margin") - F.col("m")) > 1e-9).count() == 0
+    assert model.getNumTrees == n
 
 
 def test_boosting_goes_on_until_patience_runs_out_by_auc(spark):
