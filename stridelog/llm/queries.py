@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelog.llm import (
-    bpe, html_extract, license_scan, line_dedup, mixing, near_dedup, neighbours, quality,
-    sharding, substring_dedup,
+    bpe, decontaminate, html_extract, license_scan, line_dedup, mixing, near_dedup, neighbours,
+    quality, sharding, spelling, substring_dedup, whitening,
 )
 from stridelog.llm.common import prepare, table
 from stridelog.session import configure
@@ -262,6 +262,67 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    words = spelling.word_counts(docs, typo_every=31)
+    return spelling.variant_forms(words.where("n >= 2"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = decontaminate.contamination(
+        docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    hit = decontaminate.n_hit()
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), hit.alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"))
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT 0 AS kind, doc_id AS id, row_number() OVER () AS r, text FROM documents
+  UNION ALL SELECT 1, item_id, row_number() OVER (), text FROM benchmark
+), words AS (
+  SELECT kind, id, r, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^ -/:-`{-]+') AS ws FROM texts
+), windows AS (
+  SELECT DISTINCT id, size, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT id, ws, least(len(ws), 10) AS size,
+               unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i
+        FROM words WHERE kind = 1 AND len(ws) > 0)
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT r, i, size, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+        FROM words, sizes WHERE kind = 0 AND len(ws) >= size)
+), found AS (
+  SELECT r, i, size, id FROM places JOIN windows USING (size, w)
+), hits AS (
+  SELECT r, count(DISTINCT j) AS n_hit
+  FROM (SELECT r, i + unnest(range(0, size)) AS j FROM (SELECT DISTINCT r, i, size FROM found))
+  GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, id::VARCHAR AS id FROM found) GROUP BY r
+)
+SELECT w.id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hits USING (r) LEFT JOIN items USING (r) WHERE kind = 0
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(configure(spark)), sf_dir, "embeddings")
+    return whitening.whiten(vectors, keep=["vec_id"]).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
@@ -273,6 +334,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repetition_rules": op8_repetition_rules,
     "op9_near_dedup": op9_near_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_decontamination": op12_decontamination,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
@@ -280,4 +344,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op7_mixing": OP7_SQL,
     "op8_repetition_rules": _op8_sql(),
+    "op12_decontamination": OP12_SQL,
 }

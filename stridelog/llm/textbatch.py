@@ -65,9 +65,10 @@ def _sums(values: np.ndarray) -> np.ndarray:
 class TextBatch:
     """Texts ``0 .. rows - 1``; ``bounds`` has the byte places at which they begin and end."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, bounds: np.ndarray,
+                 separators: np.ndarray = _SPACE) -> None:
         self.data, self.bounds, self.rows = data, bounds, len(bounds) - 1
-        solid = ~_SPACE[data]
+        solid = ~separators[data]
         first, last = solid.copy(), solid.copy()
         if len(data):
             first[1:] &= ~solid[:-1]
@@ -127,8 +128,12 @@ class NGrams:
         return mix((self._sums[ends] - self._sums[starts]) * self._down[starts])
 
 
-def batches(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int, TextBatch]]:
-    """Cut a string column into (first row, end row, batch); null is the empty text."""
+def batches(column: pa.Array, limit: int = BATCH_BYTES, separators: np.ndarray = _SPACE,
+            folded: np.ndarray | None = None) -> Iterator[tuple[int, int, TextBatch]]:
+    """Cut a string column into (first row, end row, batch); null is the empty text.
+
+    ``separators`` marks the bytes between words, ``folded`` gives each byte the one it counts as.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -143,5 +148,6 @@ def batches(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, i
         end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         part = raw[offsets[row]:offsets[end]]
-        yield row, end, TextBatch(part, offsets[row:end + 1] - offsets[row])
+        part = part if folded is None else folded[part]
+        yield row, end, TextBatch(part, offsets[row:end + 1] - offsets[row], separators)
         row = end
