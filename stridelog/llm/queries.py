@@ -287,7 +287,7 @@ WITH texts AS (
 ), words AS (
   SELECT kind, id, r, regexp_extract_all(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[^ -/:-`{-]+') AS ws FROM texts
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts
 ), windows AS (
   SELECT DISTINCT id, size, array_to_string(ws[i:i + size - 1], ' ') AS w
   FROM (SELECT id, ws, least(len(ws), 10) AS size,
