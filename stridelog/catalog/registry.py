@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelog.catalog import event_queries, funnel_queries, score_queries, user_queries
+from stridelog.catalog import (
+    event_queries, funnel_queries, live_queries, score_queries, user_queries,
+)
 from stridelog.catalog.query import Query
 from stridelog.config import FEATURES, LABEL, SEGMENT, USER
 from stridelog.catalog.testdata import segment_table
 
 QUERIES: dict[str, Query] = {
     **event_queries.QUERIES, **user_queries.QUERIES,
-    **funnel_queries.QUERIES, **score_queries.QUERIES,
+    **funnel_queries.QUERIES, **score_queries.QUERIES, **live_queries.QUERIES,
 }
 
 

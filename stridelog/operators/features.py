@@ -90,6 +90,12 @@ def event_features(events: DataFrame, cutoffs: DataFrame,
         _sum_where(is_known_in(event, FRICTION_EVENTS)).alias("friction_events"),
         F.max(flag(is_known_in(event, social_events))).alias("is_social_user"),
     )
+    return with_derived(sums)
+
+
+def with_derived(sums: DataFrame) -> DataFrame:
+    """The features that follow from a user's counts and from the times ``_cutoff``, ``_first``,
+    ``_last`` and ``_tenure``."""
     total, sessions = F.col("total_events"), F.col("total_sessions")
     previous_week = F.col("events_last_14d") - F.col("events_last_7d")
     growth = (F.col("events_last_7d") - previous_week) / (previous_week + F.lit(1.0))
