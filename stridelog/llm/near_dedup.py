@@ -330,12 +330,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     pairs, large = _candidates(members, config.small_bucket)
     links = search.links(pairs)
     labels = connected_components(links)
-    if not large.isEmpty():
-        family = _families(large, labels, search)
-        counts = _novel_counts(family, config)
-        links = links.union(search.links(_central_pairs(family, counts)))
+    open_ = _open(large, "leader", labels)
+    if not open_.isEmpty():
+        family = _families(open_, labels, search)
+        novel = _shared_novel(family, config)
+        links = links.union(search.links(_central_pairs(family, novel)))
         links = links.union(search.links(_left_open(
-            family, counts, connected_components(links), config)))
+            family, novel, connected_components(links), config)))
         labels = connected_components(links)
 
     nodes = sketches.select("h1", "h2", "node").join(labels, "node", "left").select(
@@ -362,6 +363,16 @@ class _Search:
             F.col("similarity") >= self.config.threshold - ROUNDING).select("a", "b"), "links")
 
 
+def _open(members: DataFrame, group: str, labels: DataFrame, node: str = "node") -> DataFrame:
+    """The members of groups (buckets, families) that are not yet one component as a whole. In the
+    others every pair is known to be in one class, so nothing is left to find."""
+    found = members.join(labels.select(F.col("node").alias(node), "label"), node, "left")
+    named = F.coalesce("label", node)
+    several = found.groupBy(group).agg(F.min(named).alias("low"), F.max(named).alias("high")).where(
+        "low < high").select(group)
+    return written(members.join(several, group, "left_semi"), "open")
+
+
 def _families(large: DataFrame, labels: DataFrame, search: _Search) -> DataFrame:
     """The members of large buckets by family, each compared with the pivot of its family.
 
@@ -379,33 +390,29 @@ def _families(large: DataFrame, labels: DataFrame, search: _Search) -> DataFrame
                    "related")
 
 
-def _novel(family: DataFrame) -> DataFrame:
-    return family.select("a", "b", F.explode("novel").alias("_n")).select(
+def _shared_novel(family: DataFrame, config: NearDedupConfig) -> DataFrame:
+    """Per member the shingles that its family's pivot lacks and two members or more have, with
+    their weight; ``common`` if they are more than a small bucket takes."""
+    novel = family.select("a", "b", F.explode("novel").alias("_n")).select(
         "a", "b", F.col("_n.shingle").alias("shingle"), F.col("_n.more").alias("more"))
+    counts = novel.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "a", "shingle", (F.col("n") > config.small_bucket).alias("common"))
+    return written(novel.join(counts, ["a", "shingle"]), "novel")
 
 
-def _novel_counts(family: DataFrame, config: NearDedupConfig) -> DataFrame:
-    """Shingles of a family that its pivot lacks and two members or more have; ``common`` if
-    they are more than a small bucket takes."""
-    return written(_novel(family).groupBy("a", "shingle").agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        "a", "shingle", (F.col("n") > config.small_bucket).alias("common")), "novel")
-
-
-def _with_common(family: DataFrame, counts: DataFrame) -> DataFrame:
+def _with_common(family: DataFrame, novel: DataFrame) -> DataFrame:
     """Adds to ``shared`` the weight that a member has in common shingles of its family."""
-    common = _novel(family).join(counts.where("common"), ["a", "shingle"]).groupBy("a", "b").agg(
-        F.sum("more").alias("common"))
+    common = novel.where("common").groupBy("a", "b").agg(F.sum("more").alias("common"))
     return family.select("a", "b", "own", "shared").join(common, ["a", "b"], "left").select(
         "a", "b", "own", (F.col("shared") + F.coalesce("common", F.lit(0.0))).alias("shared"))
 
 
-def _central_pairs(family: DataFrame, counts: DataFrame) -> DataFrame:
+def _central_pairs(family: DataFrame, novel: DataFrame) -> DataFrame:
     """Every member of a family with its most central one, the one of fewest shingles of its own.
 
     The pivot may be a copy with changes; then copies of the original are nearer to this member.
     """
-    placed = written(_with_common(family, counts), "placed")
+    placed = written(_with_common(family, novel), "placed")
     central = placed.groupBy("a").agg(F.max_by("b", F.struct(
         F.col("shared") / F.col("own"), -F.col("b"))).alias("centre"))
     return placed.select("a", "b").join(written(central, "centres"), "a").where(
@@ -413,7 +420,7 @@ def _central_pairs(family: DataFrame, counts: DataFrame) -> DataFrame:
         F.least("b", "centre").alias("a"), F.greatest("b", "centre").alias("b")).distinct()
 
 
-def _left_open(family: DataFrame, counts: DataFrame, labels: DataFrame,
+def _left_open(family: DataFrame, novel: DataFrame, labels: DataFrame,
                config: NearDedupConfig) -> DataFrame:
     """Which pairs of a family may be linked although no path between them is known.
 
@@ -425,8 +432,9 @@ def _left_open(family: DataFrame, counts: DataFrame, labels: DataFrame,
     members, so few pairs are left. They meet by weight, in steps of five per cent.
     """
     t, step = config.threshold - ROUNDING, 0.05
+    family = _open(family, "a", labels, "b")
     named = labels.select(F.col("node").alias("b"), "label")
-    placed = written(_with_common(family, counts).join(named, "b", "left").select(
+    placed = written(_with_common(family, novel).join(named, "b", "left").select(
         "a", "b", "own", F.coalesce("label", "b").alias("label"),
         ((1 + t) / t * F.col("shared") * (1 + ROUNDING) - F.col("own")).alias("slack")), "placed")
 
@@ -444,7 +452,7 @@ def _left_open(family: DataFrame, counts: DataFrame, labels: DataFrame,
     by_weight = outside.join(inside, ["a", "place"]).where(
         "label <> v_label AND v_own <= slack AND own <= v_slack").select("b", "v")
 
-    rare = written(_novel(family).join(counts.where("NOT common"), ["a", "shingle"]).join(
+    rare = written(novel.where("NOT common").join(
         placed.select("a", "b", "label"), ["a", "b"]).select(
         "a", "shingle", "b", "label"), "rare")
     by_shingle = rare.join(
