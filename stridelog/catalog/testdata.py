@@ -90,8 +90,11 @@ def stage(spark: SparkSession, sf_dir: str, name: str,
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event log: event_id, person_id, timestamp, event, canvas_id, props."""
-    return canonical_events(spark, sf_dir)
+    """The event log: event_id, person_id, timestamp, event, canvas_id, props.
+
+    Written once, so that the names are not worked out again by every scan of every query.
+    """
+    return stage(spark, sf_dir, "events", lambda: canonical_events(spark, sf_dir))
 
 
 def label_table(spark: SparkSession, sf_dir: str) -> DataFrame:
