@@ -10,10 +10,11 @@ is what its own bytes merge to and every adjacent pair is what the pair's bytes
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 import struct
 from collections.abc import Iterable, Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,18 +92,29 @@ class WordBpe:
         ids = [self.first[0][b] for b in data]
         if ends and data:
             ids[-1] = self.first[1][data[-1]]
-        rank_of, none = self.ranks.get, repeat(len(self.merged))
-        while len(ids) > 1:
-            rank = min(map(rank_of, zip(ids, ids[1:]), none))
-            if rank == len(self.merged):
-                break
+        # Neighbours are linked and pairs wait in a heap, so a word of n bytes takes n log n steps.
+        # A pair that a merge has changed since it was filed no longer has its two symbols.
+        rank_of, size = self.ranks.get, len(ids)
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        waiting = [(rank, at) for at, rank in enumerate(map(rank_of, zip(ids, ids[1:])))
+                   if rank is not None]
+        heapq.heapify(waiting)
+        while waiting:
+            rank, at = heapq.heappop(waiting)
             left, right, made = self.merged[rank]
-            at = 0
-            while at < len(ids) - 1:  # merges of a new token rank after it
-                if ids[at] == left and ids[at + 1] == right:
-                    ids[at:at + 2] = [made]
-                at += 1
-        return ids
+            other = after[at]
+            if ids[at] != left or other == size or ids[other] != right:
+                continue
+            ids[at], ids[other] = made, -1
+            after[at] = end = after[other]
+            if end < size:
+                before[end] = at
+                if (rank := rank_of((made, ids[end]))) is not None:
+                    heapq.heappush(waiting, (rank, at))
+            start = before[at]
+            if start >= 0 and (rank := rank_of((ids[start], made))) is not None:
+                heapq.heappush(waiting, (rank, start))
+        return [i for i in ids if i >= 0]
 
     def propose(self, data: bytes) -> list[int]:
         """Greedy longest matches over the bytes of a word; the last one must end the word."""

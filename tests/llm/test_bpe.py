@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import time
+from random import Random
 
 import pytest
 from helpers import documents, some_texts, with_odd_columns
@@ -47,6 +49,14 @@ def test_joined_tokens_match_the_library(tokens):
     same(["".join(t.replace("</w>", "") for t in tokens)])
 
 
+@pytest.mark.parametrize("size", [5_000, 200_000])
+def test_long_unbroken_words_match_the_library(size):
+    random = Random(size)
+    start = time.process_time()
+    same(["".join(random.choices("etaoinshr", k=size)), "ab" * (size // 2), "é" * (size // 4)])
+    assert time.process_time() - start < 60
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_WORDS", 3)
     monkeypatch.setattr(bpe, "MAX_PAIRS", 5)
