@@ -26,8 +26,9 @@ HEAD = set("base link meta noscript script style template title".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
-    "ol option p pre section summary table tbody td tfoot th thead tr ul".split())
+    "ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | {"p", "blockquote", "pre"}
 SCOPE = set("table td th caption button object html".split())
 # What an opening tag closes first, and where the search for it ends.
 CLOSED_BY = {
@@ -50,6 +51,11 @@ NO_CONTENT_WORDS = set(
     "promotion recommended related replies respond search share sharing sidebar signup skip "
     "social sponsor sponsored subscribe subscription toolbar widget widgets".split())
 HEADER_WORDS = set("header masthead topbar".split())
+ADVERT_WORDS = set("ad ads advert adverts advertisement advertisements advertising promo promotion "
+                   "sponsor sponsored".split())
+# A form around one of these is the frame of a whole page; one without controls is no form.
+FRAMED = set("article main nav footer".split())
+CONTROLS = set("input select textarea button label".split())
 # Parts of a name that say nothing of its content. A name counts by the words above only if all
 # its other parts are such: "comments-list" does, "comments-open" and "share-prices" do not.
 NEUTRAL_WORDS = set(
@@ -75,7 +81,12 @@ class Page:
         self.tag, self.parent, self.inside = ["html"], [-1], [[]]
         self.attributes = [""]
         self._most: tuple[list[int], list[int]] | None = None
+        self._counts: Counts | None = None
+        # Open elements, and for each name their places there. An inline element that ends before
+        # the blocks inside it stays in the stack, as ended, until it comes to the top.
         self._stack = [0]
+        self._places: dict[str, list[int]] = {}
+        self._ended: set[int] = set()
         self._parse(source)
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -87,29 +98,36 @@ class Page:
         self.inside.append([])
         self.inside[top].append(node)
         if tag not in VOID:
+            self._places.setdefault(tag, []).append(len(self._stack))
             self._stack.append(node)
 
+    def _innermost(self, tags: set[str]) -> int:
+        """The place in the stack of the innermost open element of ``tags``; 0 if none is."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
+
+    def _leave(self, place: int) -> None:
+        """Leave the element at a place of the stack and all that is open in it."""
+        while len(self._stack) > place or self._stack[-1] in self._ended:
+            node = self._stack.pop()
+            if node not in self._ended:
+                self._places[self.tag[node]].pop()
+
     def _close(self, tags: set[str], until: set[str]) -> None:
         """Leave the innermost open element of ``tags``, unless one of ``until`` is in between."""
-        for i in range(len(self._stack) - 1, 0, -1):
-            tag = self.tag[self._stack[i]]
-            if tag in tags:
-                del self._stack[i:]
-                return
-            if tag in until:
-                return
+        place = self._innermost(tags)
+        if place > self._innermost(until):
+            self._leave(place)
 
     def _end(self, tag: str) -> None:
-        if tag in BLOCK or tag in RAW or tag in SCOPE:
+        if tag in BLOCK or tag in NO_CONTENT or tag in SCOPE:
             self._close({tag}, set() if tag in ("table", "td", "th", "tr") else SCOPE - {tag})
             return
-        for i in range(len(self._stack) - 1, 0, -1):
-            open_ = self.tag[self._stack[i]]
-            if open_ == tag:
-                del self._stack[i]  # blocks opened since stay open
-                return
-            if open_ in SCOPE:
-                return
+        place = self._innermost({tag})
+        if place == len(self._stack) - 1 and place:
+            self._leave(place)
+        elif place > self._innermost(SCOPE):
+            self._ended.add(self._stack[place])  # blocks opened since stay open
+            self._places[tag].pop()
 
     def _parse(self, source: str) -> None:
         at, find = 0, _TAG.search
@@ -138,10 +156,20 @@ class Page:
             if tag in BLOCK:
                 self._close({"p"}, SCOPE)
             self._open(tag, found[3])
-            if tag in RAW and not found[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
-                at = end.end() if end else len(source)
-                self._stack.pop()
+            if tag in RAW:
+                at = self._raw_end(source, at, tag, found[3].endswith("/"))
+                self._leave(len(self._stack) - 1)
+
+    def _raw_end(self, source: str, at: int, tag: str, closed: bool) -> int:
+        """Where an element of raw text ends. One written as closed has content only if its end
+        tag comes before another opening tag of its name; an svg never has."""
+        if closed and tag == "svg":
+            return at
+        first = "/?" if closed else "/"
+        end = re.compile(rf"<({first}){re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
+        if closed:
+            return end.end() if end and end[1] else at
+        return end.end() if end else len(source)
 
     def _majorities(self) -> tuple[list[int], list[int]]:
         """Characters below every node, without elements that are no content, and those of them
@@ -165,11 +193,26 @@ class Page:
         chars, in_articles = self._most
         return 2 * chars[node] > chars[0] and in_articles[node] == in_articles[0]
 
-    def _no_content(self, node: int, in_article: bool, rules: int) -> bool:
+    def _is_text(self, node: int) -> bool:
+        """Whether a node has text, most of it outside links, on the page as it is."""
+        if self._counts is None:
+            self._counts = Counts(self, [True] * len(self.tag))
+        return self._counts.is_text(node)
+
+    def _frames(self) -> set[int]:
+        """Forms around the page's parts, and forms with nothing to fill in."""
+        framed = [tag in FRAMED for tag in self.tag]
+        filled = [tag in CONTROLS for tag in self.tag]
+        for node in range(len(self.tag) - 1, 0, -1):
+            above = self.parent[node]
+            framed[above] |= framed[node]
+            filled[above] |= filled[node]
+        return {n for n, tag in enumerate(self.tag)
+                if tag == "form" and (framed[n] or not filled[n])}
+
+    def _no_content(self, node: int, in_article: bool, names_count: bool) -> bool:
         tag = self.tag[node]
-        if tag in RAW:
-            return True
-        if rules > 0 and (tag in NO_CONTENT or (tag == "header" and not in_article)):
+        if tag in NO_CONTENT or (tag == "header" and not in_article):
             return True
         if not self.attributes[node]:
             return False
@@ -178,33 +221,38 @@ class Page:
             name, value = name.lower(), "".join(values)
             if name in ("class", "id"):
                 names.extend(value.lower().split())
-            elif name == "role" and rules > 0 and value.lower() in NO_CONTENT_ROLES:
+            elif name == "role" and value.lower() in NO_CONTENT_ROLES:
                 return True
             elif name == "style" and _HIDDEN.search(value):
                 return True
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                 return True
-        if rules < 2 or tag in ("article", "main"):
+        if not names_count or tag in ("article", "main"):
             return False
         marks = NO_CONTENT_WORDS if in_article else NO_CONTENT_WORDS | HEADER_WORDS
         for name in names:
             words = set(_WORD.findall(name))
             if words & marks and words <= marks | NEUTRAL_WORDS:
+                if tag in PROSE and not words & ADVERT_WORDS and self._is_text(node):
+                    continue
                 return not self._holds_most(node)
         return False
 
-    def content_nodes(self, rules: int = 2) -> list[bool]:
+    def content_nodes(self, names_count: bool = True) -> list[bool]:
         """Which nodes are not, and are not inside, a part that is no content.
 
-        Hidden parts never are. With ``rules`` of 1 elements and roles count as well, and with 2
-        also names, but for those of an article and of a part with most of the text.
+        Such are hidden parts, and others by element, role or name. A name does not count for an
+        article, for a part with most of the text, and, adverts excepted, for a paragraph or
+        heading with a text of its own. A form that frames the page, or has no controls, is like a div.
         """
+        frames = self._frames()
         inside_article = [False] * len(self.tag)
         out = [True] * len(self.tag)
         for node in range(1, len(self.tag)):  # parents come before their children
             above = self.parent[node]
             inside_article[node] = inside_article[above] or self.tag[above] in ("article", "main")
-            out[node] = out[above] and not self._no_content(node, inside_article[node], rules)
+            out[node] = out[above] and (node in frames or not self._no_content(
+                node, inside_article[node], names_count))
         return out
 
 
@@ -258,18 +306,35 @@ def densities(page: Page, content: list[bool], counts: Counts) -> list[float]:
     return out
 
 
+def _teasers(page: Page, content: list[bool], counts: Counts) -> set[int]:
+    """Articles whose first heading is a link as a whole: they tell of another page."""
+    article = [-1] * len(page.tag)
+    seen: set[int] = set()
+    out: set[int] = set()
+    for node in range(1, len(page.tag)):
+        above = page.parent[node]
+        article[node] = node if page.tag[node] == "article" else article[above]
+        if page.tag[node] in HEADINGS and content[node] and article[node] not in seen:
+            seen.add(article[node])
+            if counts.chars[node] and counts.link_chars[node] == counts.chars[node]:
+                out.add(article[node])
+    return out - {-1}
+
+
 def chosen_nodes(page: Page) -> tuple[set[int], list[bool]]:
     """The nodes whose text is the main text, and which nodes count as content at all.
 
-    Where no text is left, names are no longer heeded, then elements and roles. The way up from
-    the best node, or from an article around it, ends at the highest node with another child like
-    it: an article or its wrapper, or else one of no less than half (a heading and a paragraph) of
-    the least characters per node with text on the path. That node is taken as a whole, and so is a ``main``. Only children before the first and
-    after the last such one must be text by their element: headings, paragraphs, lists, tables and
-    sections are, divs and lists of links are not.
+    Where no text is left, names are no longer heeded; a page of menus and forms alone has none.
+    The way up from the best node, or from an article around it, ends at the highest node with
+    another child like it: one of no less than half (a heading and a paragraph) of the least
+    characters per node with text on the path, and beside an article one that holds an article
+    which is no teaser (a heading that is all link), unless the best is one itself. That node is
+    taken as a whole, and so is a ``main``. Only children before the first and after the last such
+    one must be text by their element: headings, paragraphs, lists, tables and sections are, divs
+    and lists of links are not. Articles between them that are not like it go.
     """
-    for rules in (2, 1, 0):
-        content = page.content_nodes(rules)
+    for names_count in (True, False):
+        content = page.content_nodes(names_count)
         counts = Counts(page, content)
         if counts.chars[0]:
             break
@@ -285,15 +350,22 @@ def chosen_nodes(page: Page) -> tuple[set[int], list[bool]]:
     least = min(counts.plain(n) for n in path) / 2
 
     articles = [n for n in path if page.tag[n] == "article"]
-    with_article = [tag == "article" for tag in page.tag]
+    teasers = _teasers(page, content, counts)
+    if articles and articles[-1] in teasers:
+        teasers = set()
+    any_article = [tag == "article" for tag in page.tag]
+    with_article = [tag == "article" and node not in teasers
+                    for node, tag in enumerate(page.tag)]
     for node in range(len(page.tag) - 1, 0, -1):
-        if with_article[node] and content[node]:
-            with_article[page.parent[node]] = True
+        if content[node]:
+            above = page.parent[node]
+            any_article[above] |= any_article[node]
+            with_article[above] |= with_article[node]
 
     def alike(node: int) -> bool:
         if not counts.is_text(node):
             return False
-        return with_article[node] if articles else counts.plain(node) >= least
+        return counts.plain(node) >= least and (with_article[node] or not articles)
 
     def is_prose(node: int) -> bool:
         return counts.is_text(node) and page.tag[node] not in ("div", "section")
@@ -315,7 +387,9 @@ def chosen_nodes(page: Page) -> tuple[set[int], list[bool]]:
         parts = [x for x in page.inside[way[i]] if isinstance(x, int) and content[x]]
         places = [j for j, x in enumerate(parts) if x == way[i - 1] or alike(x)]
         for j, x in enumerate(parts):
-            if not places[0] <= j <= places[-1]:
+            if places[0] <= j <= places[-1]:
+                content[x] = j in places or not any_article[x]
+            else:
                 content[x] = (page.tag[x] in HEADINGS if articles else
                               is_prose(x) or page.tag[x] == "section" and counts.is_text(x))
     chosen = {way[top]}

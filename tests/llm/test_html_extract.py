@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import html
+import math
 import re
+import time
+from random import Random
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
-from stridelog.llm.html_extract import extract, main_text
+from stridelog.llm.html_extract import Counts, Page, densities, extract, main_text
 
 BODY = ("<p>The first paragraph of the article is long enough to weigh something.</p>"
         "<p>The second &amp; last one\n  has <b>bold</b> and <a href='x'>linked</a> words<br>too.</p>")
@@ -54,6 +58,96 @@ def test_broken_and_small_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><svg class='x'/><p>one</p><p>two</p></article>", "one\ntwo"),
+    ("<article><h1>T</h1><iframe src='x' /><p>one</p></article>", "T\none"),
+    ("<div><script src='x'/><p>one</p><script>code</script><p>two</p></div>", "one\ntwo"),
+    ("<div><script src='x'/>code</script><p>one</p></div>", "one"),
+    ("<p>see <select><option>a</select> rest</p>", "see rest"),
+    ("<p>see <label><b>a</label> rest</p>", "see rest"),
+    ("<article><p class='share'>The share of it.</p><p id='notice'>Note it.</p></article>",
+     "The share of it.\nNote it."),
+    ("<article><p>Text of it.</p><p class='share'><a href=x>This</a> <a href=y>That</a></p>"
+     "<p class=ad>Buy it.</p></article>", "Text of it."),
+    ("<body><nav>Home About</nav><footer>Copyright</footer></body>", ""),
+    ("<form>Name <input></form>", ""),
+    ("<form id=aspnet><nav>Home</nav><div><p>one two</p></div><footer>c</footer></form>", "one two"),
+    ("<p><b>bold<div>in</b>side</div></p>after", "bold\ninside\nafter"),
+])
+def test_markup_that_once_gave_a_wrong_text(page, text):
+    assert main_text(page) == text
+
+
+def test_articles_of_other_stories_stay_out():
+    page = ("<main><article><h1>Story</h1>{0}{0}</article>"
+            "<article><h2><a href=x>Other story</a></h2>{0}</article>"
+            "<div><article><h2>Third</h2><p>In short.</p></article></div></main>")
+    assert main_text(page.format(f"<p>{LINE}</p>")) == f"Story\n{LINE}\n{LINE}"
+    listed = "<main>" + "<article><h2><a href=x>A story</a></h2><p>{0}</p></article>" * 3 + "</main>"
+    assert main_text(listed.format(LINE)) == "\n".join(["A story", LINE] * 3)
+
+
+def test_time_grows_with_the_page_and_not_with_its_depth_squared():
+    deep = "<div><b>" * 100_000 + "deep"
+    start = time.process_time()
+    assert main_text(deep) == "deep"
+    assert time.process_time() - start < 30
+
+
+def plain_densities(page):
+    """Composite text density from its formula, node by node, over a tree of another parser."""
+    root = ElementTree.fromstring(f"<html>{page}</html>")
+    nodes = list(root.iter())
+
+    def measure(node):
+        inner = [x for x in node.iter() if x is not node]
+        links = [x for x in node.iter() if x.tag == "a"]
+        chars = sum(len(t.strip()) for x in node.iter()
+                    for t in ([x.text] + [y.tail for y in x]) if t)
+        return (chars, max(len(inner), 1), sum(measure_chars(x) for x in links), len(links))
+
+    def measure_chars(node):
+        return len("".join(t.strip() for t in node.itertext()))
+
+    all_chars, _, all_links, _ = measure(root)
+    density, sums = [], []
+    for node in nodes:
+        c, t, lc, lt = measure(node)
+        value = 0.0
+        if c:
+            base = math.log(c / max(c - lc, 1) * lc + all_links / all_chars * c + math.e) + 1
+            value = c / t * math.log(
+                max(c / max(lc, 1) * t / max(lt, 1), 1) + 1) / math.log(base)
+        density.append(value)
+    for node in nodes:
+        sums.append(sum(density[nodes.index(x)] for x in node))
+    return density, sums
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_densities_equal_the_formula_on_pages_without_articles(seed):
+    random = Random(seed)
+
+    def part(depth):
+        if depth == 0 or random.random() < 0.3:
+            words = " ".join(random.choices(["one", "second", "third"], k=random.randint(1, 30)))
+            link = "<a>linked</a>" if random.random() < 0.4 else ""
+            return f"<p>{words}{link}</p>"
+        return "<div>" + "".join(part(depth - 1) for _ in range(random.randint(1, 4))) + "</div>"
+
+    source = "".join(part(3) for _ in range(3))
+    page = Page(source)
+    content = page.content_nodes()
+    counts = Counts(page, content)
+    found = densities(page, content, counts)
+    want, sums = plain_densities(source)
+    assert found == pytest.approx(want)
+    # The node of the largest sum is part of the text, and the text is not more than the page.
+    best = max(range(len(sums)), key=lambda n: (sums[n], want[n]))
+    inner = "".join(list(ElementTree.fromstring(f"<html>{source}</html>").iter())[best].itertext())
+    assert inner.replace(" ", "") in main_text(source).replace("\n", "").replace(" ", "")
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     many = "".join(f"<p>paragraph {i} of a long page</p>" for i in range(20000))
