@@ -132,11 +132,12 @@ def repetition_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rules = rules or RepetitionRules()
     lengths = sorted(rules.ngram_chars)
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-              "n_lines", "dup_line_chars", *(f"ngram_chars_{n}" for n in lengths)]
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    flags = ["base_failed", "kept"]
+    more = ["n_lines", "dup_line_chars", *(f"ngram_chars_{n}" for n in lengths)]
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {id_type}, " + ", ".join(f"{c} LONG" for c in counts)
-    schema += ", base_failed BOOLEAN, kept BOOLEAN"
+    schema = ", ".join([f"`{id_col}` {id_type}", *(f"{c} LONG" for c in counts),
+                        *(f"{c} BOOLEAN" for c in flags), *(f"{c} LONG" for c in more)])
 
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -146,8 +147,9 @@ def repetition_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(first, end - first)]
                     + [pa.array(found[c].astype(np.int64)) for c in counts]
-                    + [pa.array(found[c]) for c in ("base_failed", "kept")],
-                    names=[id_col, *counts, "base_failed", "kept"])
+                    + [pa.array(found[c]) for c in flags]
+                    + [pa.array(found[c].astype(np.int64)) for c in more],
+                    names=[id_col, *counts, *flags, *more])
 
     return docs.select(id_col, text_col).mapInArrow(judge, schema)
 
