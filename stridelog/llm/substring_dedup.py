@@ -102,13 +102,15 @@ def _index(phrases: DataFrame) -> DataFrame:
 
 
 def _flags(phrases: DataFrame, index: DataFrame) -> DataFrame:
-    """Per document the phrases of the index: place, windows and the bits whole and open."""
+    """Per document the phrases of the index: place, windows and the bits whole and open.
+
+    Rows equal in id and text are one document, and sets take their places once."""
     opened = F.col("open") & (~F.col("whole") | (F.col("rep") == F.col("d1")))
     bits = F.when(F.col("whole"), 2).otherwise(0) + F.when(opened, 1).otherwise(0)
     return phrases.join(index, ["a", "p"]).where(F.col("whole") | opened).select(
         *_DOC, (F.shiftleft("at", 2) + bits).alias("flag")
     ).groupBy(*_DOC).agg(
-        F.collect_list("flag").alias("flags"), F.max(F.col("flag") % 2).alias("open"))
+        F.collect_set("flag").alias("flags"), F.max(F.col("flag") % 2).alias("open"))
 
 
 def _window_table(opened: DataFrame, window: int) -> DataFrame:
@@ -214,7 +216,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeated = written(windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
                        .where("n > 1").select("w1", "w2"), "repeated")
     hits = windows.join(repeated, ["w1", "w2"]).groupBy(*_DOC).agg(
-        F.collect_list(F.shiftleft("place", 8) + 1).alias("hits"))
+        F.collect_set(F.shiftleft("place", 8) + 1).alias("hits"))
     spans = written(
         flags.join(hits, _DOC, "left")
         .select(*_DOC, _spans_of(F.col("flags"), F.col("hits")).alias("spans"))
