@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stridelog.functions import ordered
 from stridelog.functions.ordered import exact_quantiles, spread_row_number
 from stridelog.operators import metrics, propensity
 
@@ -208,6 +209,38 @@ def test_boosting_goes_on_until_patience_runs_out_by_auc(spark):
     assert (propensity.TREES, propensity.PATIENCE) == (1000, 100)
 
 
+@pytest.mark.parametrize("few_groups", [True, False])
+def test_quantiles_order_a_bounded_number_of_values(spark, monkeypatch, few_groups):
+    """However large a group, no task orders more than the bound; several rounds are needed."""
+    monkeypatch.setattr(ordered, "SMALL_GROUP", 20)
+    tasks = []
+
+    def narrowed(*args):
+        rows, group = plain_narrowed(*args)
+        tasks.append((rows.groupBy(*group).count().agg(F.max("count")).first()[0], group))
+        return rows, group
+
+    plain_narrowed = ordered.narrowed
+    monkeypatch.setattr(ordered, "narrowed", narrowed)
+    df = spark.range(100_000).selectExpr(
+        "CASE WHEN id % 10 < 8 THEN 'hot' WHEN id < 50 THEN 'few' ELSE 'rest' END AS g",
+        "IF(id % 7 = 0, 3.0, pow(xxhash64(id) % 100003 / 1000.0, 3)) AS v")
+    probs = {"least": 0.0, "low": 0.001, "mid": 0.5, "also": 0.5, "high": 0.99, "most": 1.0}
+    got = exact_quantiles(df, ["g"], "v", probs, few_groups, "n").collect()
+    want = df.groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(k) for k, p in probs.items()],
+                               F.count("v").alias("n")).collect()
+    assert {r["g"]: [pytest.approx(x) for x in r[1:]] for r in want} == {
+        r["g"]: list(r[1:]) for r in got}
+    assert tasks[0][0] <= 20 and tasks[0][1] == ["g", "_all", "_i"]
+
+
+def test_quantiles_of_nothing_and_of_odd_groups(spark):
+    df = spark.createDataFrame([("a", None), (None, 1.0)], "g STRING, v DOUBLE")
+    assert exact_quantiles(df, ["g"], "v", {"m": 0.5}).count() == 0
+    assert exact_quantiles(df.where("v > 1"), [], "v", {"m": 0.5}).count() == 0
+    assert exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == 1.0
+
+
 def test_a_group_of_equal_values_is_one_row(spark):
     df = spark.range(200_000).selectExpr("CAST(IF(id % 10 = 0, id, 7) AS DOUBLE) AS v")
     got = exact_quantiles(df, [], "v", {"low": 0.05, "mid": 0.5, "high": 0.99}).first()
