@@ -1,15 +1,21 @@
-"""KMeans over scaled features, to see whether the segments hold up geometrically."""
+"""KMeans over scaled features, to see whether the segments hold up geometrically.
+
+All numbers of clusters and all their starts are fitted side by side: a scan of the users moves
+the centres of every fit at once, so there are as many scans as the slowest start has steps.
+"""
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelog.config import CLUSTER_FEATURES, SEED, SEGMENT, USER
@@ -22,6 +28,44 @@ CLUSTER = "cluster_id"
 MAX_K = 8
 USERS_PER_K = 10
 
+# Seeding by sampled candidates: rounds, how many candidates a round draws for each cluster, and
+# how often to go on where there are fewer candidates than clusters.
+SEED_ROUNDS, PER_CLUSTER, MORE_ROUNDS = 2, 2, 20
+# A fit ends when no centre moves further than this.
+TOLERANCE = 1e-4
+
+
+@dataclass(frozen=True)
+class KMeansModel:
+    """Centres of clusters, in rows, and the sum of squared distances to them."""
+
+    centres: np.ndarray
+    cost: float
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(self.centres)
+
+    def transform(self, vectors: DataFrame) -> DataFrame:
+        """Add the number of the nearest centre to ``scaled``, the first of equals."""
+        point = vector_to_array("scaled")
+        far = F.array(*[F.aggregate(
+            F.zip_with(point, F.array(*map(F.lit, centre)), lambda a, b: (a - b) * (a - b)),
+            F.lit(0.0), lambda x, y: x + y) for centre in self.centres.tolist()])
+        return vectors.withColumn("_far", far).withColumn(CLUSTER, (
+            F.array_position("_far", F.array_min("_far")) - 1).cast("int")).drop("_far")
+
+    def save(self, path: str) -> None:
+        """Write the centres as a table, over what is there."""
+        rows = [(i, centre, self.cost) for i, centre in enumerate(self.centres.tolist())]
+        SparkSession.active().createDataFrame(
+            rows, f"{CLUSTER} INT, centre ARRAY<DOUBLE>, training_cost DOUBLE"
+        ).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(path: str) -> KMeansModel:
+        rows = SparkSession.active().read.parquet(path).orderBy(CLUSTER).collect()
+        return KMeansModel(np.array([r["centre"] for r in rows]), rows[0]["training_cost"])
+
 
 def cluster_columns(feature_store: DataFrame,
                     wanted: Sequence[str] = CLUSTER_FEATURES) -> list[str]:
@@ -88,16 +132,124 @@ def cluster_vectors(feature_store: DataFrame) -> DataFrame:
     )
 
 
+def _nearest_sums(points: DataFrame, fits: Sequence[np.ndarray]
+                  ) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For every set of centres, in one scan: points and their sum for each centre, which is the
+    nearest of its set to them, and the sum of squared distances.
+
+    A task holds a sum per centre, and the driver gets their totals: some rows a centre.
+    """
+    bounds, flat = np.cumsum([0, *map(len, fits)]), np.concatenate(fits)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, cost, sums = np.zeros(len(flat)), np.zeros(len(flat)), np.zeros(flat.shape)
+        for part in parts:
+            if not part.num_rows:
+                continue
+            x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+            for first, end in zip(bounds, bounds[1:]):
+                far = np.stack([((x - c) ** 2).sum(axis=1) for c in flat[first:end]])
+                near, size = far.argmin(axis=0), end - first
+                n[first:end] += np.bincount(near, minlength=size)
+                cost[first:end] += np.bincount(near, far.min(axis=0), minlength=size)
+                for j in range(x.shape[1]):
+                    sums[first:end, j] += np.bincount(near, x[:, j], minlength=size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(flat))), pa.array(n), pa.array(cost), pa.array(sums.tolist())],
+            ["centre", "n", "cost", "sums"])
+
+    found = points.mapInArrow(
+        run, "centre LONG, n DOUBLE, cost DOUBLE, sums ARRAY<DOUBLE>"
+    ).groupBy("centre").agg(
+        F.sum("n"), F.sum("cost"), *[F.sum(F.col("sums")[j]) for j in range(flat.shape[1])]
+    ).orderBy("centre").collect()
+    table = np.array([list(r)[1:] for r in found])
+    return [(table[first:end, 0], table[first:end, 2:], float(table[first:end, 1].sum()))
+            for first, end in zip(bounds, bounds[1:])]
+
+
+def _drawn(points: DataFrame, candidates: Sequence[np.ndarray], costs: Sequence[float],
+           number: int, salt: int) -> list[np.ndarray]:
+    """Some ``number`` further candidates for each start, drawn by squared distance to those it
+    has. The draw goes by the hash of the user, so it does not hang on partitions."""
+    sets = [(i, c, number / cost) for i, (c, cost) in enumerate(zip(candidates, costs)) if cost > 0]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if not part.num_rows:
+                continue
+            key = part.column(0).to_numpy().view(np.uint64)
+            x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+            for i, known, rate in sets:
+                far = np.min([((x - c) ** 2).sum(axis=1) for c in known], axis=0)
+                mixed = (key ^ np.uint64((salt * 1_000_003 + i + 1) * 0x9E3779B97F4A7C15 % 2**64))
+                mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                taken = x[(mixed >> np.uint64(11)) * 2.0**-53 < far * rate]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(taken), i)), pa.array(taken.tolist(), pa.list_(pa.float64()))],
+                    ["start", "x"])
+
+    rows = points.mapInArrow(run, "start LONG, x ARRAY<DOUBLE>").distinct().collect()
+    new: list[list[list[float]]] = [[] for _ in candidates]
+    for row in sorted(rows):
+        new[row["start"]].append(row["x"])
+    return [np.array([*c.tolist(), *more]) for c, more in zip(candidates, new)]
+
+
+def _spread(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` of the candidates, each drawn by weight and squared distance to those before."""
+    rng = np.random.default_rng(seed)
+    chosen: list[np.ndarray] = []
+    odds = weights.copy()
+    while len(chosen) < k and odds.sum() > 0:
+        chosen.append(candidates[rng.choice(len(odds), p=odds / odds.sum())])
+        odds = weights * np.min([((candidates - c) ** 2).sum(axis=1) for c in chosen], axis=0)
+    return np.array(chosen)
+
+
+def fit_all(vectors: DataFrame, ks: Sequence[int], starts: int, seed: int = SEED,
+            max_iter: int = 500) -> dict[int, KMeansModel]:
+    """For each number of clusters the best of several starts, by within-cluster cost.
+
+    A start draws candidates over all users, the farther from those it has the likelier, and
+    each number of clusters takes its first centres from them. Then all centres of all fits
+    move together until none of a fit's moves. Users fewer or more alike than a number of
+    clusters give fewer clusters.
+    """
+    points = vectors.select(F.xxhash64(USER).alias("key"), vector_to_array("scaled").alias("x"))
+    firsts = points.agg(*[F.min_by("x", F.xxhash64("key", F.lit(seed + i))) for i in range(starts)])
+    candidates = [np.array([x]) for x in firsts.first()]
+    for step in range(MORE_ROUNDS):
+        totals = _nearest_sums(points, candidates)
+        enough = step >= SEED_ROUNDS and min(map(len, candidates)) >= max(ks)
+        if enough or not any(cost for _, _, cost in totals):
+            break
+        candidates = _drawn(points, candidates, [cost for _, _, cost in totals],
+                            PER_CLUSTER * max(ks), seed + step)
+    weights = [n for n, _, _ in _nearest_sums(points, candidates)]
+
+    fits = [(k, _spread(candidates[i], weights[i], k, seed + i)) for k in ks for i in range(starts)]
+    best: dict[int, KMeansModel] = {}
+    for step in range(max_iter):
+        moving = []
+        for (k, centres), (n, sums, cost) in zip(fits, _nearest_sums(points, [c for _, c in fits])):
+            # A centre that is nearest to nobody stays where it is.
+            moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
+            if step + 1 < max_iter and ((moved - centres) ** 2).sum(axis=1).max() > TOLERANCE**2:
+                moving.append((k, moved))
+            elif k not in best or cost < best[k].cost:
+                best[k] = KMeansModel(centres, cost)
+        fits = moving
+        if not fits:
+            break
+    return best
+
+
 def best_of(vectors: DataFrame, k: int, starts: int, seed: int = SEED,
             max_iter: int = 500) -> KMeansModel:
     """The best of several starts, by within-cluster cost."""
-    seeds = range(seed, seed + starts)
-    models = [
-        KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="scaled", predictionCol=CLUSTER)
-        .fit(vectors)
-        for s in seeds
-    ]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    return fit_all(vectors, [k], starts, seed, max_iter)[k]
 
 
 def k_sweep(vectors: DataFrame, ks: Sequence[int], seed: int = SEED,
@@ -106,12 +258,9 @@ def k_sweep(vectors: DataFrame, ks: Sequence[int], seed: int = SEED,
     evaluator = ClusteringEvaluator(
         featuresCol="scaled", predictionCol=CLUSTER, distanceMeasure="squaredEuclidean"
     )
-    rows = []
     vectors = vectors.persist()
-    for k in ks:
-        model = best_of(vectors, k, starts, seed, max_iter=300)
-        rows.append((k, evaluator.evaluate(model.transform(vectors)),
-                     model.summary.trainingCost))
+    models = fit_all(vectors, ks, starts, seed, max_iter=300)
+    rows = [(k, evaluator.evaluate(models[k].transform(vectors)), models[k].cost) for k in ks]
     vectors.unpersist()
     return vectors.sparkSession.createDataFrame(
         rows, "k INT, silhouette DOUBLE, training_cost DOUBLE"

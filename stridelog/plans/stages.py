@@ -78,7 +78,7 @@ def make_transitions(run: Run) -> DataFrame:
 def make_clusters(run: Run, starts: int = 20) -> DataFrame:
     segmented = run.table("segments")
     clusters, model = clustering.run_clustering(segmented, starts=starts)
-    model.write().overwrite().save(run.path("kmeans"))
+    model.save(run.path("kmeans"))
     inputs = clustering.cluster_input(segmented)
     sinks.write_parquet(
         clustering.scaling_parameters(inputs, clustering.cluster_columns(segmented)),

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from stridelog.operators import clustering, report, segments, transitions
@@ -121,6 +124,55 @@ def test_tiny_tables_use_the_given_number_of_clusters(spark):
         clustering.cluster_columns(spark.range(1))
 
 
+@pytest.fixture(scope="module")
+def blobs(spark):
+    """1,200 points about six places of a plane, some more than once."""
+    rng = np.random.default_rng(5)
+    places = rng.uniform(-50, 50, (6, 2))
+    rows = [(str(i), Vectors.dense(places[i % 6] + rng.normal(size=2).round(1))) for i in range(1200)]
+    return spark.createDataFrame(rows, ["person_id", "scaled"]).repartition(3).persist()
+
+
+def test_all_fits_share_their_scans_and_cost_no_more_than_single_fits(blobs, monkeypatch):
+    scans = []
+    sums = clustering._nearest_sums
+
+    def counted(points, fits):
+        scans.append(len(fits))
+        return sums(points, fits)
+
+    monkeypatch.setattr(clustering, "_nearest_sums", counted)
+    found = clustering.fit_all(blobs, range(2, 8), starts=5)
+    # Three scans for the candidates, one for their weights, then one a step for all fits left.
+    steps = scans[4:]
+    assert steps[0] == 30 and steps == sorted(steps, reverse=True) and len(scans) < 60
+    for k in (2, 4, 6):
+        single = [KMeans(k=k, seed=s, featuresCol="scaled", maxIter=100).fit(blobs)
+                  .summary.trainingCost for s in range(5)]
+        assert found[k].cost <= min(single) * 1.0001
+        placed = found[k].transform(blobs).select("scaled", clustering.CLUSTER).collect()
+        cost = sum(((r["scaled"].toArray() - found[k].centres[r[1]]) ** 2).sum() for r in placed)
+        assert cost == pytest.approx(found[k].cost)
+        assert {r[1] for r in placed} == set(range(k))
+
+
+def test_fits_do_not_hang_on_partitions_and_can_be_saved(blobs, tmp_path):
+    one = clustering.best_of(blobs.coalesce(1), 6, 3)
+    other = clustering.best_of(blobs.repartition(7, "person_id"), 6, 3)
+    assert np.allclose(one.centres, other.centres) and one.cost == pytest.approx(other.cost)
+    one.save(str(tmp_path / "model"))
+    one.save(str(tmp_path / "model"))
+    again = clustering.KMeansModel.load(str(tmp_path / "model"))
+    assert (again.centres == one.centres).all() and again.cost == one.cost
+
+
+def test_fewer_kinds_of_users_than_clusters(spark):
+    df = spark.createDataFrame([(str(i), Vectors.dense([float(i % 2), 1.0])) for i in range(50)],
+                               ["person_id", "scaled"])
+    model = clustering.best_of(df, 4, 2)
+    assert sorted(c.tolist() for c in model.centres) == [[0.0, 1.0], [1.0, 1.0]] and model.cost == 0
+
+
 def test_report_without_predictions_has_nulls(store):
     df = segments.with_segment(store(dict(total_events=1.0), dict(total_events=2.0)))
     got = report.generate_full_report(df, features=["total_events", "active_days"]).first()
