@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridelog.llm.common import broadcast_if_small, written
@@ -49,6 +49,7 @@ class NearDedupConfig:
 ROUNDING = 1e-9        # by which sums of weights may fall short of the threshold
 WHOLE = 1 << 62        # a limit of bytes that no batch reaches
 _LEVELS = 14           # bits of a shingle's hash that pick its random numbers, per sample
+_PARTS = 64            # classes of shingles by hash, in which shared weights are bounded apart
 _FEATURE_BITS = 44     # bits of a shingle's hash kept; the rest holds the text's number
 
 
@@ -227,9 +228,10 @@ def _compared(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
 
 def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
              config: NearDedupConfig) -> DataFrame:
-    """How ``b`` stands to ``a``: its ``own`` weight, the weight ``shared`` with ``a``, and the
-    shingles that weigh more in ``b`` than in ``a`` (``novel``), with how much more."""
-    n = config.shingle
+    """How ``b`` stands to ``a``: its ``own`` weight, the weight ``shared`` with ``a``, the same
+    by classes of shingles (``parts``), and the shingles that weigh more in ``b`` than in ``a``
+    (``novel``), with how much more."""
+    n, name_bits = config.shingle, np.uint64((1 << _FEATURE_BITS) - 1)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -242,19 +244,24 @@ def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
                 more = right.weight.copy()
                 more[j] -= np.minimum(left.weight[i], right.weight[j])
                 novel = more > ROUNDING * right.weight
+                both = np.minimum(left.weight[i], right.weight[j])
+                part_of = right.row[j] * _PARTS + (
+                    mix(right.key[j] & name_bits) % np.uint64(_PARTS)).astype(int)
+                parts_ = np.bincount(part_of, both, rows * _PARTS)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(right.row[novel], minlength=rows))])
-                names = (right.key[novel] & np.uint64((1 << _FEATURE_BITS) - 1)).astype(np.int64)
+                names = (right.key[novel] & name_bits).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     *(c.slice(first, rows) for c in part.columns[:2]),
                     pa.array(np.bincount(right.row, right.weight, rows)),
-                    pa.array(np.bincount(right.row[j], np.minimum(
-                        left.weight[i], right.weight[j]), rows)),
+                    pa.array(np.bincount(right.row[j], both, rows)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(rows + 1) * _PARTS, pa.int32()), pa.array(parts_)),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
                         [pa.array(names), pa.array(more[novel])], ["shingle", "more"])),
-                ], ["a", "b", "own", "shared", "novel"])
+                ], ["a", "b", "own", "shared", "parts", "novel"])
 
     return _with_texts(pairs, texts).mapInArrow(
-        run, "a LONG, b LONG, own DOUBLE, shared DOUBLE, "
+        run, "a LONG, b LONG, own DOUBLE, shared DOUBLE, parts ARRAY<DOUBLE>, "
              "novel ARRAY<STRUCT<shingle: LONG, more: DOUBLE>>")
 
 
@@ -401,10 +408,11 @@ def _shared_novel(family: DataFrame, config: NearDedupConfig) -> DataFrame:
 
 
 def _with_common(family: DataFrame, novel: DataFrame) -> DataFrame:
-    """Adds to ``shared`` the weight that a member has in common shingles of its family."""
-    common = novel.where("common").groupBy("a", "b").agg(F.sum("more").alias("common"))
-    return family.select("a", "b", "own", "shared").join(common, ["a", "b"], "left").select(
-        "a", "b", "own", (F.col("shared") + F.coalesce("common", F.lit(0.0))).alias("shared"))
+    """Adds to ``shared`` the weight that a member has in ``common`` shingles of its family."""
+    found = novel.where("common").groupBy("a", "b").agg(F.sum("more").alias("common"))
+    common = F.coalesce("common", F.lit(0.0))
+    return family.select("a", "b", "own", "shared", "parts").join(found, ["a", "b"], "left").select(
+        "a", "b", "own", (F.col("shared") + common).alias("shared"), common.alias("common"), "parts")
 
 
 def _central_pairs(family: DataFrame, novel: DataFrame) -> DataFrame:
@@ -425,17 +433,23 @@ def _left_open(family: DataFrame, novel: DataFrame, labels: DataFrame,
     """Which pairs of a family may be linked although no path between them is known.
 
     Pairs that have a shingle in common which is neither in the pivot nor common in the family
-    are listed; few members have such a shingle. Other pairs share at most what the lesser of
-    them has in pivot and common shingles. With the threshold t a link then takes that the
-    weights of both together are at most (1 + t) / t times that, so each has to be at most the
-    ``slack`` of the other. Copies with many changes have a slack below the weight of nearly all
-    members, so few pairs are left. They meet by weight, in steps of five per cent.
+    are listed with the weight of all these; few members have such a shingle. Beyond it a pair
+    shares at most what the lesser of both has in pivot and common shingles. With the threshold t
+    a link takes that the weights of both together are at most (1 + t) / t times what they
+    share. So without a listed shingle each weight has to be at most the ``slack`` of the other.
+    Such pairs meet by weight, in steps of five per cent, and are bounded once more by the lesser
+    pivot weights in each class of shingles: of two members that lack different pivot shingles
+    both lacks count. All bounds are on the safe side, so no link is lost.
     """
     t, step = config.threshold - ROUNDING, 0.05
+
+    def enough(shared: Column, other_own: str) -> Column:
+        return shared * (1 + ROUNDING) * ((1 + t) / t) >= F.col("own") + F.col(other_own)
+
     family = _open(family, "a", labels, "b")
     named = labels.select(F.col("node").alias("b"), "label")
     placed = written(_with_common(family, novel).join(named, "b", "left").select(
-        "a", "b", "own", F.coalesce("label", "b").alias("label"),
+        "a", "b", "own", "shared", "common", "parts", F.coalesce("label", "b").alias("label"),
         ((1 + t) / t * F.col("shared") * (1 + ROUNDING) - F.col("own")).alias("slack")), "placed")
 
     # In a family of one component nothing is open; in others pairs within one are not.
@@ -444,20 +458,31 @@ def _left_open(family: DataFrame, novel: DataFrame, labels: DataFrame,
     low, high = F.col("own") * t, F.least(F.col("slack"), F.col("own") / t)
     outside = placed.join(top, "a", "left").where(
         (~F.col("label").eqNullSafe(F.col("top"))) & (low <= high)).select(
-        "a", "own", "slack", "label", "b", F.explode(F.sequence(
+        "a", "own", "slack", "common", "parts", "label", "b", F.explode(F.sequence(
             F.floor(F.log(low) / step), F.floor(F.log(high) / step))).alias("place"))
-    inside = placed.select("a", place.alias("place"), F.col("b").alias("v"),
-                           F.col("own").alias("v_own"), F.col("slack").alias("v_slack"),
-                           F.col("label").alias("v_label"))
+    inside = placed.join(top, "a", "left").select(
+        "a", place.alias("place"), F.col("b").alias("v"), F.col("own").alias("v_own"),
+        F.col("slack").alias("v_slack"), F.col("common").alias("v_common"),
+        F.col("parts").alias("v_parts"), F.col("label").alias("v_label"),
+        F.col("label").eqNullSafe(F.col("top")).alias("v_within"))
+    # Two members outside would meet from both sides; the condition is the same on each.
+    in_pivot = F.aggregate(
+        F.zip_with("parts", "v_parts", lambda x, y: F.least(x, y)), F.lit(0.0), lambda x, y: x + y)
     by_weight = outside.join(inside, ["a", "place"]).where(
-        "label <> v_label AND v_own <= slack AND own <= v_slack").select("b", "v")
+        "label <> v_label AND v_own <= slack AND own <= v_slack AND (v_within OR b < v)").where(
+        enough(in_pivot + F.least("common", "v_common"), "v_own")).select("b", "v")
 
     rare = written(novel.where("NOT common").join(
-        placed.select("a", "b", "label"), ["a", "b"]).select(
-        "a", "shingle", "b", "label"), "rare")
-    by_shingle = rare.join(
-        rare.select("a", "shingle", F.col("b").alias("v"), F.col("label").alias("v_label")),
-        ["a", "shingle"]).where("b < v AND label <> v_label").select("b", "v")
+        placed.select("a", "b", "own", "shared", "label"), ["a", "b"]).select(
+        "a", "shingle", "b", "more", "own", "shared", "label"), "rare")
+    other = rare.select("a", "shingle", *(
+        F.col(c).alias(n) for c, n in [("b", "v"), ("more", "v_more"), ("own", "v_own"),
+                                       ("shared", "v_shared"), ("label", "v_label")]))
+    by_shingle = rare.join(other, ["a", "shingle"]).where("b < v AND label <> v_label").groupBy(
+        "a", "b", "v").agg(
+        F.sum(F.least("more", "v_more")).alias("listed"),
+        *(F.first(c).alias(c) for c in ("own", "shared", "v_own", "v_shared"))).where(
+        enough(F.col("listed") + F.least("shared", "v_shared"), "v_own")).select("b", "v")
     return by_weight.union(by_shingle).select(
         F.least("b", "v").alias("a"), F.greatest("b", "v").alias("b")).distinct()
 
