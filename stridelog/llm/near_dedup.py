@@ -31,7 +31,8 @@ class NearDedupConfig:
 
     ``small_bucket`` is a matter of speed alone: documents of a band value that no more than so
     many share are compared with each other; larger ones go through a leader first.
-    ``word_slots`` bounds the table of document frequencies that every worker gets.
+    ``word_table`` bounds the table of frequent words that every worker gets; the frequencies of
+    all other words are joined to the texts that hold them. It changes no result.
     """
 
     shingle: int = 5
@@ -39,13 +40,14 @@ class NearDedupConfig:
     bands: int = 14
     rows: int = 4
     small_bucket: int = 32
-    word_slots: int = 1 << 16
+    word_table: int = 1 << 18
 
     @property
     def samples(self) -> int:
         return self.bands * self.rows
 
 
+_RARE = "ARRAY<STRUCT<word: LONG, idf: FLOAT>>"
 ROUNDING = 1e-9        # by which sums of weights may fall short of the threshold
 WHOLE = 1 << 62        # a limit of bytes that no batch reaches
 _LEVELS = 14           # bits of a shingle's hash that pick its random numbers, per sample
@@ -53,40 +55,112 @@ _PARTS = 64            # classes of shingles by hash, in which shared weights ar
 _FEATURE_BITS = 44     # bits of a shingle's hash kept; the rest holds the text's number
 
 
-def _slots(words: np.ndarray, count: int) -> np.ndarray:
-    return (mix(words) % np.uint64(count)).astype(np.int64)
-
-
-def document_frequencies(docs: DataFrame, text_col: str, config: NearDedupConfig) -> np.ndarray:
-    """In how many documents each word slot occurs; the last entry counts the documents.
-
-    Words share ``word_slots`` slots by their hash. The table has this size whatever the
-    corpus; Spark adds up one row per slot and partition.
-    """
-    size = config.word_slots
+def document_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
+    """``word`` (its hash) and ``n``, the number of rows with it; for the null word, all rows with
+    words."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(size + 1, dtype=np.int64)
         for part in parts:
             for _, _, batch in batches(part.column(0)):
-                slot = _slots(batch.word_hash(), size)
-                pair = np.unique(batch.row_of_word() * size + slot)
-                found[:size] += np.bincount(pair % size, minlength=size)
-                found[size] += int((np.diff(batch.word_bounds) > 0).sum())
-        used = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[used])], ["slot", "n"])
-
-    counts = (
-        docs.select(text_col).mapInArrow(count, "slot LONG, n LONG")
-        .groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    )
-    out = np.zeros(size + 1, dtype=np.int64)
-    out[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
-    return out
+                name, at = np.unique(batch.word_hash(), return_inverse=True)
+                pair = np.unique(batch.row_of_word() * len(name) + at)
+                found = np.bincount(pair % max(len(name), 1), minlength=len(name))
+                filled = int((np.diff(batch.word_bounds) > 0).sum())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([*name.view(np.int64), 0], mask=np.arange(len(name) + 1) == len(name)),
+                    pa.array([*found, filled], pa.int64())], ["word", "n"])
+
+    return written(docs.select(text_col).mapInArrow(count, "word LONG, n LONG")
+                   .groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
-def inverse_frequencies(frequencies: np.ndarray) -> np.ndarray:
-    return (1 + np.log((frequencies[-1] + 1) / (frequencies[:-1] + 1))).astype(np.float32)
+def inverse_frequency(n: Column, documents: int) -> Column:
+    return (1 + F.log((documents + 1) / (n + 1))).cast("float")
+
+
+@dataclass
+class WordWeights:
+    """Inverse document frequencies of the frequent words, by hash in rising order."""
+
+    word: np.ndarray
+    idf: np.ndarray
+
+    def of(self, words: np.ndarray, rare: pa.ListArray | None = None) -> np.ndarray:
+        """The weights of words; those of words not in the table are in the lists ``rare``."""
+        out, known = _looked_up(words, self.word, self.idf)
+        if rare is not None and not known.all():
+            listed = rare.flatten()
+            name = listed.field(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            order = np.argsort(name)
+            out[~known], _ = _looked_up(
+                words[~known], name[order], listed.field(1).to_numpy(zero_copy_only=False)[order])
+        return out
+
+    def unknown(self, words: np.ndarray) -> np.ndarray:
+        return ~_looked_up(words, self.word, self.idf)[1]
+
+
+def _looked_up(words: np.ndarray, names: np.ndarray,
+               values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of each word (0 if it has none), and whether it has one."""
+    if not len(names):
+        return np.zeros(len(words)), np.zeros(len(words), dtype=bool)
+    at = np.minimum(np.searchsorted(names, words), len(names) - 1)
+    known = names[at] == words
+    return np.where(known, values[at], 0.0), known
+
+
+def _weighed(docs: DataFrame, config: NearDedupConfig) -> tuple[DataFrame, Broadcast]:
+    """``docs`` (``id``, ``text``) with the weights of their ``rare`` words, and the table of the
+    others.
+
+    Frequent are words of at least a number of documents, the least power of two that leaves no
+    more than ``word_table`` of them. A rare word has fewer rows than that, so none is hot. Rows
+    get a number to bring their words together again, so that equal texts do not meet.
+    """
+    spark = docs.sparkSession
+    counts = document_frequencies(docs, "text")
+    documents = sum(r["n"] for r in counts.where("word IS NULL").collect())
+    levels = {r["level"]: r["count"] for r in counts.where("word IS NOT NULL").groupBy(
+        F.floor(F.log2("n")).alias("level")).count().collect()}
+    left, least = sum(levels.values()), 0
+    while left > config.word_table:
+        left -= levels.get(least, 0)
+        least += 1
+    idf = counts.where("word IS NOT NULL").select(
+        "word", inverse_frequency(F.col("n"), documents).alias("idf"),
+        (F.floor(F.log2("n")) >= least).alias("frequent"))
+    kept = idf.where("frequent").select("word", "idf").toArrow()
+    name = kept.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(name)
+    weights = spark.sparkContext.broadcast(
+        WordWeights(name[order], kept.column("idf").to_numpy()[order]))
+    if not least:
+        return docs.withColumn("rare", F.lit(None).cast(_RARE)), weights
+
+    def tag(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for first, end, batch in batches(part.column(1)):
+                words, row = batch.word_hash(), batch.row_of_word()
+                open_ = weights.value.unknown(words)
+                name, at = np.unique(words[open_], return_inverse=True)
+                pair = np.unique(row[open_] * len(name) + at)
+                size = np.bincount(pair // max(len(name), 1), minlength=end - first)
+                ends = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+                listed = pa.array(name[pair % max(len(name), 1)].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(first, end - first) for c in part.columns),
+                     pa.ListArray.from_arrays(ends, listed)], ["id", "text", "words"])
+
+    tagged = written(docs.mapInArrow(tag, "id LONG, text STRING, words ARRAY<LONG>").withColumn(
+        "row", F.monotonically_increasing_id()), "tagged")
+    lists = tagged.select("row", F.explode("words").alias("word")).join(
+        idf.where("NOT frequent").select("word", "idf"), "word").groupBy("row").agg(
+        F.collect_list(F.struct("word", "idf")).alias("rare"))
+    return written(
+        tagged.where("size(words) = 0").select("id", "text", F.lit(None).cast(_RARE).alias("rare"))
+        .union(tagged.where("size(words) > 0").join(lists, "row").select("id", "text", "rare")),
+        "weighed"), weights
 
 
 @dataclass
@@ -98,10 +172,10 @@ class Features:
     row: np.ndarray
 
 
-def features(batch: TextBatch, idf: np.ndarray, n: int) -> Features:
+def features(batch: TextBatch, rare: pa.ListArray, weights: WordWeights, n: int) -> Features:
     """Distinct shingles with their weights. A text of fewer than ``n`` words is one shingle."""
     words = batch.word_hash()
-    grams, word_idf = NGrams(words), idf[_slots(words, len(idf))].astype(np.float64)
+    grams, word_idf = NGrams(words), weights.of(words, rare)
     sums = np.concatenate([[0.0], np.cumsum(word_idf)])
     first, last = batch.word_bounds[:-1], batch.word_bounds[1:]
     row = batch.row_of_word()
@@ -173,8 +247,7 @@ def similarity(left: Features, right: Features, rows: int) -> np.ndarray:
     return shared / np.maximum(both - shared, 1e-300)
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str, idf: Broadcast,
-              config: NearDedupConfig) -> DataFrame:
+def _sketches(docs: DataFrame, weights: Broadcast, config: NearDedupConfig) -> DataFrame:
     """Per document: id, 128-bit hash of its words (null without words), samples as binary."""
     n, samples = config.shingle, config.samples
 
@@ -187,38 +260,51 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, idf: Broadcast,
                 bounds = batch.word_bounds[:-1], batch.word_bounds[1:]
                 h1 = NGrams(words).between(*bounds).view(np.int64)
                 h2 = NGrams(mix(words + np.uint64(1))).between(*bounds).view(np.int64)
-                drawn = sketch(features(batch, idf.value, n), batch.rows, tables)
+                rare = part.column(2).slice(first, end - first)
+                drawn = sketch(features(batch, rare, weights.value, n), batch.rows, tables)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).slice(first, end - first),
                     pa.array(h1, mask=none), pa.array(h2, mask=none),
                     pa.array([row.tobytes() for row in drawn], pa.binary()),
                 ], ["id", "h1", "h2", "samples"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(
+    return docs.mapInArrow(
         run, "id LONG, h1 LONG, h2 LONG, samples BINARY")
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a``, ``b`` and both texts. Only texts of nodes in some pair are exchanged."""
+    """``a``, ``b``, both texts and both lists of rare words. Only texts of nodes in some pair are
+    exchanged."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
     used = written(
         texts.join(broadcast_if_small(wanted), "node").dropDuplicates(["node"]), "texts")
-    left = used.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = used.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    left = used.select(F.col("node").alias("a"), F.col("text").alias("left"),
+                       F.col("rare").alias("left_rare"))
+    right = used.select(F.col("node").alias("b"), F.col("text").alias("right"),
+                        F.col("rare").alias("right_rare"))
+    return pairs.join(left, "a").join(right, "b").select(
+        "a", "b", "left", "right", "left_rare", "right_rare")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
+def _both_features(part: pa.RecordBatch, weights: WordWeights,
+                   n: int) -> Iterator[tuple[int, int, Features, Features]]:
+    """Shingles of the left and of the right texts of a batch, by pieces of bounded size."""
+    for first, end, left in batches(part.column(2)):
+        right, left_rare, right_rare = (c.slice(first, end - first) for c in part.columns[3:6])
+        (_, _, right), = batches(right, WHOLE)
+        yield (first, end, features(left, left_rare, weights, n),
+               features(right, right_rare, weights, n))
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, weights: Broadcast,
               config: NearDedupConfig) -> DataFrame:
     """``a``, ``b`` and their ``similarity``."""
     n = config.shingle
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for first, end, left in batches(part.column(2)):
-                (_, _, right), = batches(part.column(3).slice(first, end - first), WHOLE)
-                found = similarity(features(left, idf.value, n), features(right, idf.value, n),
-                                   end - first)
+            for first, end, left, right in _both_features(part, weights.value, n):
+                found = similarity(left, right, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(first, end - first) for c in part.columns[:2]), pa.array(found)],
                     ["a", "b", "similarity"])
@@ -226,7 +312,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
     return _with_texts(pairs, texts).mapInArrow(run, "a LONG, b LONG, similarity DOUBLE")
 
 
-def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
+def _related(pairs: DataFrame, texts: DataFrame, weights: Broadcast,
              config: NearDedupConfig) -> DataFrame:
     """How ``b`` stands to ``a``: its ``own`` weight, the weight ``shared`` with ``a``, the same
     by classes of shingles (``parts``), and the shingles that weigh more in ``b`` than in ``a``
@@ -235,10 +321,8 @@ def _related(pairs: DataFrame, texts: DataFrame, idf: Broadcast,
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for first, end, batch in batches(part.column(2)):
-                (_, _, other), = batches(part.column(3).slice(first, end - first), WHOLE)
+            for first, end, left, right in _both_features(part, weights.value, n):
                 rows = end - first
-                left, right = features(batch, idf.value, n), features(other, idf.value, n)
                 _, i, j = np.intersect1d(
                     left.key, right.key, assume_unique=True, return_indices=True)
                 more = right.weight.copy()
@@ -318,10 +402,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     shingles in which members differ from the family, see ``_left_open``.
     """
     config = config or NearDedupConfig()
-    spark = docs.sparkSession
-    idf = spark.sparkContext.broadcast(
-        inverse_frequencies(document_frequencies(docs, text_col, config)))
-    drawn = written(_sketches(docs, id_col, text_col, idf, config), "sketches")
+    weighed, weights = _weighed(docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), config)
+    drawn = written(_sketches(weighed, weights, config), "sketches")
 
     sketches = written(
         drawn.where("h1 IS NOT NULL AND id IS NOT NULL").groupBy("h1", "h2")
@@ -332,8 +415,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     members = sketches.select(
         F.explode(F.array(*bands)).alias("bucket"), "node")
 
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    search = _Search(sketches, texts, idf, config)
+    search = _Search(sketches, weighed.withColumnRenamed("id", "node"), weights, config)
     pairs, large = _candidates(members, config.small_bucket)
     links = search.links(pairs)
     labels = connected_components(links)
@@ -359,13 +441,13 @@ class _Search:
 
     sketches: DataFrame
     texts: DataFrame
-    idf: Broadcast
+    weights: Broadcast
     config: NearDedupConfig
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are similar enough, seen by their samples first."""
         likely = written(_plausible(pairs, self.sketches, self.config), "likely")
-        found = _compared(likely, self.texts, self.idf, self.config)
+        found = _compared(likely, self.texts, self.weights, self.config)
         return written(found.where(
             F.col("similarity") >= self.config.threshold - ROUNDING).select("a", "b"), "links")
 
@@ -393,7 +475,8 @@ def _families(large: DataFrame, labels: DataFrame, search: _Search) -> DataFrame
         "leader").agg(F.max_by("label", F.struct("n", "label")).alias("a"))
     pairs = members.join(written(pivots, "pivots"), "leader").select(
         "a", F.col("node").alias("b")).distinct()
-    return written(_related(written(pairs, "family"), search.texts, search.idf, search.config),
+    return written(_related(written(pairs, "family"), search.texts, search.weights,
+                            search.config),
                    "related")
 
 

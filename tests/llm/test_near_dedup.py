@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,21 +41,15 @@ def corpus(seed=5):
 
 def plain_classes(texts, config=NearDedupConfig()):
     """Weighted Jaccard similarity of all pairs, and the components of its links."""
-    frequency = np.zeros(config.word_slots + 1, dtype=np.int64)
-    (_, _, batch), = batches(pa.array(texts, pa.string()), 1 << 40)
-    row, slot = batch.row_of_word(), nd._slots(batch.word_hash(), config.word_slots)
-    for _, s in set(zip(row.tolist(), slot.tolist())):
-        frequency[s] += 1
-    frequency[-1] = sum(bool(words(t)) for t in texts)
-    idf = nd.inverse_frequencies(frequency).astype(float)
-    bags, at = [], 0
+    frequency = Counter(w for t in texts for w in set(words(t)))
+    filled = sum(bool(words(t)) for t in texts)
+    idf = {w: 1 + math.log((filled + 1) / (n + 1)) for w, n in frequency.items()}
+    bags = []
     for text in texts:
         w, bag = words(text), {}
-        value = idf[slot[at:at + len(w)]]
-        at += len(w)
         for i in range(max(1, len(w) - config.shingle + 1) if w else 0):
             gram = tuple(w[i:i + config.shingle])
-            bag.setdefault(gram, [0, value[i:i + config.shingle].mean()])[0] += 1
+            bag.setdefault(gram, [0, sum(idf[x] for x in gram) / len(gram)])[0] += 1
         bags.append({g: n * m for g, (n, m) in bag.items()})
     top = list(range(len(texts)))
 
@@ -72,25 +68,27 @@ def plain_classes(texts, config=NearDedupConfig()):
     return [find(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("small_bucket", [128, 3])
-def test_classes_equal_all_pairs(spark, small_bucket):
+@pytest.mark.parametrize(
+    "small_bucket, word_table", [(128, 1 << 18), (3, 1 << 18), (32, 100), (3, 0)])
+def test_classes_equal_all_pairs(spark, small_bucket, word_table):
+    """Whichever way buckets are searched and weights reach the texts."""
     texts = corpus()
-    config = NearDedupConfig(small_bucket=small_bucket)
+    config = NearDedupConfig(small_bucket=small_bucket, word_table=word_table)
     rows = near_duplicate_classes(documents(spark, texts), config=config).collect()
     got = {r["doc_id"]: r["class_id"] for r in rows}
     assert got == dict(enumerate(plain_classes(texts)))
 
 
 def test_samples_agree_as_often_as_texts_are_similar():
-    draw, config = random.Random(3), NearDedupConfig(bands=64)
+    draw, draws, config = random.Random(3), np.random.default_rng(4), NearDedupConfig(bands=64)
     text = " ".join(f"w{draw.randrange(500)}" for _ in range(600))
     pairs = [(text, changed(text, draw, share)) for share in (0.01, 0.03, 0.08)]
-    tables, idf = nd._random_tables(config.samples), np.linspace(1, 8, 1 << 10, dtype=np.float32)
+    tables = nd._random_tables(config.samples)
     for pair in pairs:
-        sides = []
-        for one in pair:
-            (_, _, batch), = batches(pa.array([one]))
-            sides.append(nd.features(batch, idf, 5))
+        both = [b for one in pair for _, _, b in batches(pa.array([one]))]
+        name = np.unique(np.concatenate([b.word_hash() for b in both]))
+        weights = nd.WordWeights(name, draws.uniform(1, 8, len(name)))
+        sides = [nd.features(b, None, weights, 5) for b in both]
         true = nd.similarity(*sides, 1)[0]
         left, right = (nd.sketch(s, 1, tables)[0] for s in sides)
         assert abs((left == right).mean() - true) < 0.1
@@ -125,3 +123,20 @@ def test_components_of_paths_and_stars(spark):
     rows = connected_components(spark.createDataFrame(links, "a LONG, b LONG")).collect()
     want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 180)} | {200: 200, 300: 299, 299: 299}
     assert {r["node"]: r["label"] for r in rows} == want
+
+
+def test_document_frequencies_are_exact_and_reach_every_word(spark):
+    texts = ["a b a", "b c", None, "", "a d \u00e9", "a d \u00e9"]
+    docs = documents(spark, texts).select(F.col("doc_id").alias("id"), "text")
+    rows = nd.document_frequencies(docs, "text").collect()
+    assert sorted(r["n"] for r in rows if r["word"] is not None) == [1, 2, 2, 2, 3]
+    assert [r["n"] for r in rows if r["word"] is None] == [4]
+    for size in (0, 1, 3, 100):
+        weighed, weights = nd._weighed(docs, NearDedupConfig(word_table=size))
+        assert len(weights.value.word) <= size
+        table = weighed.orderBy("id").toArrow()
+        assert table.column("id").to_pylist() == list(range(6))
+        (_, _, batch), = batches(table.column("text").combine_chunks())
+        got = weights.value.of(batch.word_hash(), table.column("rare").combine_chunks())
+        want = [n for t in texts for n in ({"a": 3, "c": 1}.get(w, 2) for w in words(t))]
+        assert np.allclose(got, [1 + math.log(5 / (n + 1)) for n in want])
