@@ -110,13 +110,32 @@ def _looked_up(words: np.ndarray, names: np.ndarray,
     return np.where(known, values[at], 0.0), known
 
 
-def _weighed(docs: DataFrame, config: NearDedupConfig) -> tuple[DataFrame, Broadcast]:
-    """``docs`` (``id``, ``text``) with the weights of their ``rare`` words, and the table of the
-    others.
+@dataclass
+class _Weighed:
+    """Rows (``id``, ``text``) and what their words weigh: frequent ones by ``weights``, others by
+    the ``lists`` of their ``row``; without lists all are frequent."""
+
+    rows: DataFrame
+    weights: Broadcast
+    lists: DataFrame | None = None
+
+    def with_rare(self, rows: DataFrame) -> DataFrame:
+        """Rows with the list ``rare`` in place of ``row`` and ``listed``."""
+        none = F.lit(None).cast(_RARE).alias("rare")
+        if self.lists is None:
+            return rows.select("*", none)
+        out = [c for c in rows.columns if c not in ("row", "listed")]
+        return rows.where("NOT listed").select(*out, none).union(
+            rows.where("listed").join(self.lists, "row").select(*out, "rare"))
+
+
+def _weighed(docs: DataFrame, config: NearDedupConfig) -> _Weighed:
+    """Weigh the words of ``docs`` (``id``, ``text``).
 
     Frequent are words of at least a number of documents, the least power of two that leaves no
     more than ``word_table`` of them. A rare word has fewer rows than that, so none is hot. Rows
-    get a number to bring their words together again, so that equal texts do not meet.
+    get a number to bring their words together again, so that equal texts do not meet. Texts are
+    written once with it and the lists apart from them.
     """
     spark = docs.sparkSession
     counts = document_frequencies(docs, "text")
@@ -136,7 +155,7 @@ def _weighed(docs: DataFrame, config: NearDedupConfig) -> tuple[DataFrame, Broad
     weights = spark.sparkContext.broadcast(
         WordWeights(name[order], kept.column("idf").to_numpy()[order]))
     if not least:
-        return docs.withColumn("rare", F.lit(None).cast(_RARE)), weights
+        return _Weighed(docs, weights)
 
     def tag(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -157,10 +176,8 @@ def _weighed(docs: DataFrame, config: NearDedupConfig) -> tuple[DataFrame, Broad
     lists = tagged.select("row", F.explode("words").alias("word")).join(
         idf.where("NOT frequent").select("word", "idf"), "word").groupBy("row").agg(
         F.collect_list(F.struct("word", "idf")).alias("rare"))
-    return written(
-        tagged.where("size(words) = 0").select("id", "text", F.lit(None).cast(_RARE).alias("rare"))
-        .union(tagged.where("size(words) > 0").join(lists, "row").select("id", "text", "rare")),
-        "weighed"), weights
+    rows = tagged.select("id", "text", "row", (F.size("words") > 0).alias("listed"))
+    return _Weighed(rows, weights, written(lists, "lists"))
 
 
 @dataclass
@@ -247,9 +264,9 @@ def similarity(left: Features, right: Features, rows: int) -> np.ndarray:
     return shared / np.maximum(both - shared, 1e-300)
 
 
-def _sketches(docs: DataFrame, weights: Broadcast, config: NearDedupConfig) -> DataFrame:
+def _sketches(docs: _Weighed, config: NearDedupConfig) -> DataFrame:
     """Per document: id, 128-bit hash of its words (null without words), samples as binary."""
-    n, samples = config.shingle, config.samples
+    n, samples, weights = config.shingle, config.samples, docs.weights
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _random_tables(samples)
@@ -268,16 +285,17 @@ def _sketches(docs: DataFrame, weights: Broadcast, config: NearDedupConfig) -> D
                     pa.array([row.tobytes() for row in drawn], pa.binary()),
                 ], ["id", "h1", "h2", "samples"])
 
-    return docs.mapInArrow(
+    return docs.with_rare(docs.rows).mapInArrow(
         run, "id LONG, h1 LONG, h2 LONG, samples BINARY")
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _with_texts(pairs: DataFrame, texts: _Weighed) -> DataFrame:
     """``a``, ``b``, both texts and both lists of rare words. Only texts of nodes in some pair are
     exchanged."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
-    used = written(
-        texts.join(broadcast_if_small(wanted), "node").dropDuplicates(["node"]), "texts")
+    found = texts.rows.withColumnRenamed("id", "node").join(
+        broadcast_if_small(wanted), "node").dropDuplicates(["node"])
+    used = written(texts.with_rare(found), "texts")
     left = used.select(F.col("node").alias("a"), F.col("text").alias("left"),
                        F.col("rare").alias("left_rare"))
     right = used.select(F.col("node").alias("b"), F.col("text").alias("right"),
@@ -296,10 +314,9 @@ def _both_features(part: pa.RecordBatch, weights: WordWeights,
                features(right, right_rare, weights, n))
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, weights: Broadcast,
-              config: NearDedupConfig) -> DataFrame:
+def _compared(pairs: DataFrame, texts: _Weighed, config: NearDedupConfig) -> DataFrame:
     """``a``, ``b`` and their ``similarity``."""
-    n = config.shingle
+    n, weights = config.shingle, texts.weights
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -312,12 +329,12 @@ def _compared(pairs: DataFrame, texts: DataFrame, weights: Broadcast,
     return _with_texts(pairs, texts).mapInArrow(run, "a LONG, b LONG, similarity DOUBLE")
 
 
-def _related(pairs: DataFrame, texts: DataFrame, weights: Broadcast,
-             config: NearDedupConfig) -> DataFrame:
+def _related(pairs: DataFrame, texts: _Weighed, config: NearDedupConfig) -> DataFrame:
     """How ``b`` stands to ``a``: its ``own`` weight, the weight ``shared`` with ``a``, the same
     by classes of shingles (``parts``), and the shingles that weigh more in ``b`` than in ``a``
     (``novel``), with how much more."""
-    n, name_bits = config.shingle, np.uint64((1 << _FEATURE_BITS) - 1)
+    n, weights = config.shingle, texts.weights
+    name_bits = np.uint64((1 << _FEATURE_BITS) - 1)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -402,9 +419,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     shingles in which members differ from the family, see ``_left_open``.
     """
     config = config or NearDedupConfig()
-    weighed, weights = _weighed(docs.select(
+    weighed = _weighed(docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), config)
-    drawn = written(_sketches(weighed, weights, config), "sketches")
+    drawn = written(_sketches(weighed, config), "sketches")
 
     sketches = written(
         drawn.where("h1 IS NOT NULL AND id IS NOT NULL").groupBy("h1", "h2")
@@ -415,7 +432,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     members = sketches.select(
         F.explode(F.array(*bands)).alias("bucket"), "node")
 
-    search = _Search(sketches, weighed.withColumnRenamed("id", "node"), weights, config)
+    search = _Search(sketches, weighed, config)
     pairs, large = _candidates(members, config.small_bucket)
     links = search.links(pairs)
     labels = connected_components(links)
@@ -440,14 +457,13 @@ class _Search:
     """What it takes to look at pairs of nodes."""
 
     sketches: DataFrame
-    texts: DataFrame
-    weights: Broadcast
+    texts: _Weighed
     config: NearDedupConfig
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are similar enough, seen by their samples first."""
         likely = written(_plausible(pairs, self.sketches, self.config), "likely")
-        found = _compared(likely, self.texts, self.weights, self.config)
+        found = _compared(likely, self.texts, self.config)
         return written(found.where(
             F.col("similarity") >= self.config.threshold - ROUNDING).select("a", "b"), "links")
 
@@ -475,8 +491,7 @@ def _families(large: DataFrame, labels: DataFrame, search: _Search) -> DataFrame
         "leader").agg(F.max_by("label", F.struct("n", "label")).alias("a"))
     pairs = members.join(written(pivots, "pivots"), "leader").select(
         "a", F.col("node").alias("b")).distinct()
-    return written(_related(written(pairs, "family"), search.texts, search.weights,
-                            search.config),
+    return written(_related(written(pairs, "family"), search.texts, search.config),
                    "related")
 
 

@@ -132,9 +132,10 @@ def test_document_frequencies_are_exact_and_reach_every_word(spark):
     assert sorted(r["n"] for r in rows if r["word"] is not None) == [1, 2, 2, 2, 3]
     assert [r["n"] for r in rows if r["word"] is None] == [4]
     for size in (0, 1, 3, 100):
-        weighed, weights = nd._weighed(docs, NearDedupConfig(word_table=size))
+        weighed = nd._weighed(docs, NearDedupConfig(word_table=size))
+        weights = weighed.weights
         assert len(weights.value.word) <= size
-        table = weighed.orderBy("id").toArrow()
+        table = weighed.with_rare(weighed.rows).orderBy("id").toArrow()
         assert table.column("id").to_pylist() == list(range(6))
         (_, _, batch), = batches(table.column("text").combine_chunks())
         got = weights.value.of(batch.word_hash(), table.column("rare").combine_chunks())
