@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from itertools import zip_longest
 
+import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressor,
 )
@@ -42,8 +44,13 @@ ROUND_TREES = 10
 STORE_TREES = 50
 # The Newton step of one row is held within these bounds, against rows with p near 0 or 1.
 LARGEST_STEP = 4.0
-# Rows per task while boosting.
-TASK_ROWS = 200_000
+# Rows per task while boosting: some tenths of a second for every level of a round's trees.
+TASK_ROWS = 50_000
+# Margins of one tree that a task puts in order for an AUC, and how many it takes at least to cut
+# them into sets of about that size.
+CELL_ROWS, CUT_ROWS = 200_000, 1000
+# Rows per task that run through a hundred trees or so for their margins.
+LOSS_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -145,11 +152,12 @@ def fit(train: DataFrame, features: Sequence[str], validation: DataFrame | None
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
 
     def inputs(rows: DataFrame) -> DataFrame:
-        return assembler.transform(imputed(rows, medians, features)).select(
-            "features", F.col(LABEL).cast("double").alias("_y"), *[c for c in ["_weight"] if c in rows.columns],
-            F.lit(0.0).alias("_margin"))
+        return imputed(rows, medians, features).select(
+            F.array(*features).alias("_x"), F.col(LABEL).cast("double").alias("_y"),
+            *[c for c in ["_weight"] if c in rows.columns], F.lit(0.0).alias("_margin"))
 
-    boosting = Boosting(inputs(_weighted(train, train)), seed)
+    placed = inputs(_weighted(train, train)).withColumn("features", array_to_vector("_x"))
+    boosting = Boosting(placed.drop("_x"), seed)
     losses: list[float] = []
     if validation is None:
         boosting.grow(trees)
@@ -175,20 +183,21 @@ class Boosting:
     ``rows`` has ``features``, ``_y`` (0 or 1), ``_weight`` and ``_margin``, the log-odds so far.
     A round fits ``ROUND_TREES`` trees to the Newton step of every row, (y - p) / (p (1 - p)), with
     the weights times p (1 - p), each over its own share of rows and features. They grow level by
-    level in the same passes, which take most of the time whatever the size of the table. After
+    level in the same passes, which take most of the time whatever the size of the table. The rows
+    with their margins are kept in memory, and a round adds its trees to them once. After
     ``STORE_TREES`` trees the margins are written to the shared folder, so that plans stay short
     and a lost executor repeats only the rounds since.
     """
 
     def __init__(self, rows: DataFrame, seed: int = SEED) -> None:
         self.seed, self.trees, self._open = seed, [], 0
-        self._rows = self._placed(rows)
+        self._rows, self._before = self._placed(rows), None
 
     @staticmethod
     def _placed(rows: DataFrame) -> DataFrame:
         """Each round is several passes, so the rows stay in memory, in tasks of some size."""
         tasks = -(-rows.count() // TASK_ROWS)
-        return rows.coalesce(max(tasks, 1)).persist()
+        return (rows.repartition(tasks) if tasks > 1 else rows.coalesce(1)).persist()
 
     def grow(self, count: int) -> None:
         """Go on until there are ``count`` trees."""
@@ -198,19 +207,29 @@ class Boosting:
             more = self._next_trees(min(ROUND_TREES, count - len(self.trees)))
             self.trees += more
             self._open += len(more)
+            self._drop_before()  # the round has filled the rows of now
+            self._before, self._rows = self._rows, self._moved(more).persist()
+
+    def _moved(self, more: Sequence[DecisionTreeRegressionModel]) -> DataFrame:
+        """The rows with the margin after some more trees."""
+        model = _ensemble(GBTRegressionModel, more, [STEP] * len(more))
+        return model.setPredictionCol("_step").transform(self._rows).withColumn(
+            "_margin", F.col("_margin") + F.col("_step")).drop("_step")
 
     def _with_margin(self) -> DataFrame:
         """The rows with the margin after all trees."""
-        if not self._open:
-            return self._rows
-        recent = _ensemble(GBTRegressionModel, self.trees[-self._open:], [STEP] * self._open)
-        return recent.setPredictionCol("_step").transform(self._rows).withColumn(
-            "_margin", F.col("_margin") + F.col("_step")).drop("_step")
+        return self._rows
+
+    def _drop_before(self) -> None:
+        if self._before is not None:
+            self._before.unpersist()
+            self._before = None
 
     def _store(self) -> None:
-        before = self._rows
-        self._rows = self._placed(written_once(self._with_margin(), "margins"))
-        before.unpersist()
+        moved = self._rows
+        self._rows = self._placed(written_once(moved, "margins"))
+        self._drop_before()
+        moved.unpersist()
         self._open = 0
 
     def _next_trees(self, n: int) -> list[DecisionTreeRegressionModel]:
@@ -234,6 +253,7 @@ class Boosting:
         return model.setFeaturesCol("features")
 
     def close(self) -> None:
+        self._drop_before()
         self._rows.unpersist()
 
 
@@ -260,19 +280,87 @@ def _auc_losses(trees: Sequence[DecisionTreeRegressionModel], rows: DataFrame,
     leaves' values, a table of trees times leaves, turn these into running sums.
     """
     new = trees[done:]
-    values = F.from_json(F.lit(json.dumps([_leaf_values(t) for t in new])), "ARRAY<ARRAY<DOUBLE>>")
+    numbers = np.arange(len(new))
+    values = np.array([*zip_longest(*[_leaf_values(t) for t in new], fillvalue=0.0)]).T * STEP
     model = _ensemble(GBTRegressionModel, new, [STEP] * len(new)).setLeafCol("_leaf")
-    leaves = model.setPredictionCol("_sum").transform(rows).select(
-        "features", "_y", "_margin", vector_to_array("_leaf").alias("_leaf"))
-    steps = leaves.withColumn("_steps", F.transform("_leaf", lambda leaf, i: F.lit(STEP) * F.get(
-        F.get(values, i), leaf.cast("int"))))
-    sums = steps.withColumn("_sums", F.transform("_steps", lambda x, i: F.aggregate(
-        F.slice("_steps", F.lit(1), i + 1), F.col("_margin"), lambda so_far, y: so_far + y)))
-    rows = written_once(sums.select("features", "_y", "_sums"), "margins")
-    each = rows.select(F.col("_y").cast("int").alias("y"), F.posexplode("_sums").alias("tree", "p"))
-    aucs = {r["tree"]: r["roc_auc"] for r in metrics.rank_metrics(each, ["tree"]).collect()}
-    losses = [1 - (aucs.get(i) or 0.0) for i in range(len(new))]
-    return losses, rows.select("features", "_y", F.element_at("_sums", -1).alias("_margin"))
+    tasks = max(-(-rows.count() // LOSS_ROWS), 1)
+    leaves = model.setPredictionCol("").transform(
+        rows.repartition(tasks).withColumn("features", array_to_vector("_x"))).select(
+        "_x", "_y", "_margin", vector_to_array("_leaf").alias("_leaf"))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if part.num_rows:
+                leaf = part.column(3).flatten().to_numpy().reshape(-1, len(numbers)).astype(int)
+                steps = np.column_stack([part.column(2).to_numpy(), values[numbers, leaf]])
+                sums = np.cumsum(steps, axis=1)[:, 1:]
+                ends = np.arange(len(sums) + 1, dtype=np.int32) * len(numbers)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), lists], ["_x", "_y", "_sums"])
+
+    rows = written_once(
+        leaves.mapInArrow(run, "_x ARRAY<DOUBLE>, _y DOUBLE, _sums ARRAY<DOUBLE>"), "margins")
+    losses = [1 - (auc or 0.0) for auc in _aucs(rows, len(new))]
+    return losses, rows.select("_x", "_y", F.element_at("_sums", -1).alias("_margin"))
+
+
+def _aucs(rows: DataFrame, n: int) -> list[float | None]:
+    """The exact AUC of each of the ``n`` scores in ``_sums``; none where ``_y`` has one class.
+
+    Tasks count the equal scores of a batch, and a (tree, cell) of scores is put in order by one
+    task. Some rows' scores are the cells' bounds, so that a cell holds about ``CELL_ROWS`` of
+    them; the result does not hang on the bounds.
+    """
+    total = rows.count()
+    cells = -(-total // CELL_ROWS)
+    bounds = np.zeros((n, 0))
+    if cells > 1:
+        share = min(1.0, CUT_ROWS * cells / total)
+        some = np.array([r[0] for r in rows.select("_sums").sample(share, seed=SEED).collect()])
+        if len(some):
+            bounds = np.quantile(some, np.arange(1, cells) / cells, axis=0).T
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if not part.num_rows:
+                continue
+            y = part.column(0).to_numpy(zero_copy_only=False)
+            sums = part.column(1).flatten().to_numpy().reshape(-1, n)
+            out = []
+            for tree in range(n):
+                score, of = np.unique(sums[:, tree], return_inverse=True)
+                counts = [np.bincount(of[y == v], minlength=len(score)) for v in (1, 0)]
+                ends = [0, *np.searchsorted(score, bounds[tree]), len(score)]
+                out += [(tree, cell, *(v[i:j].tobytes() for v in (score, *counts)))
+                        for cell, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out), COUNTED.types)], COUNTED.names)
+
+    def ranked(counted: pa.Table) -> pa.Table:
+        score, pos, neg = (np.concatenate([np.frombuffer(v, t) for v in counted[c].to_pylist()])
+                           for c, t in (("score", np.float64), ("pos", np.int64), ("neg", np.int64)))
+        _, of = np.unique(score, return_inverse=True)
+        # Sums of up to 2^53 rows, so they are exact.
+        pos, neg = np.bincount(of, pos).astype(int), np.bincount(of, neg).astype(int)
+        pairs = (pos * (2 * (np.cumsum(neg) - neg) + neg)).sum()  # a tie is half a pair
+        return pa.table({"tree": counted["tree"][:1], "cell": counted["cell"][:1],
+                         "pos": [pos.sum()], "neg": [neg.sum()], "pairs": [pairs]})
+
+    found = rows.select("_y", "_sums").mapInArrow(
+        cut, "tree INT, cell INT, score BINARY, pos BINARY, neg BINARY"
+    ).groupBy("tree", "cell").applyInArrow(
+        ranked, "tree INT, cell INT, pos LONG, neg LONG, pairs LONG").collect()
+    pos, neg, pairs = [0] * n, [0] * n, [0] * n
+    for r in sorted(found):  # twice the pairs that are in the right order, cell by cell
+        pairs[r["tree"]] += r["pairs"] + 2 * r["pos"] * neg[r["tree"]]
+        pos[r["tree"]] += r["pos"]
+        neg[r["tree"]] += r["neg"]
+    return [t / (2 * p * q) if p and q else None for t, p, q in zip(pairs, pos, neg)]
+
+
+COUNTED = pa.schema([("tree", pa.int32()), ("cell", pa.int32()), ("score", pa.binary()),
+                     ("pos", pa.binary()), ("neg", pa.binary())])
 
 
 def _leaf_values(tree: DecisionTreeRegressionModel) -> list[float]:

@@ -209,6 +209,25 @@ def test_boosting_goes_on_until_patience_runs_out_by_auc(spark):
     assert (propensity.TREES, propensity.PATIENCE) == (1000, 100)
 
 
+def test_losses_are_exact_however_their_scores_are_cut(spark, monkeypatch):
+    rows = spark.range(900).selectExpr(
+        "IF(id % 7 = 0, 1.0D, 0.0D) AS _y",
+        "array(floor(id % 50 / 3), xxhash64(id) / 1e18, id % 7 + xxhash64(id, 1) / 1e18, 1.0D) AS _sums")
+    each = rows.select(F.col("_y").alias("y"), F.posexplode("_sums").alias("tree", "p"))
+    want = dict(metrics.rank_metrics(each, ["tree"]).select("tree", "roc_auc").collect())
+    for size in (propensity.CELL_ROWS, 100):
+        monkeypatch.setattr(propensity, "CELL_ROWS", size)
+        assert propensity._aucs(rows, 4) == pytest.approx([want[i] for i in range(4)], abs=1e-12)
+    assert propensity._aucs(rows.where("_y = 1"), 4) == [None] * 4
+
+
+def test_boosting_spreads_rows_over_tasks(spark):
+    rows = spark.range(120_000).selectExpr("0.0D AS _margin").coalesce(1)
+    placed = propensity.Boosting._placed(rows)
+    assert placed.rdd.getNumPartitions() >= 3
+    placed.unpersist()
+
+
 @pytest.mark.parametrize("few_groups", [True, False])
 def test_quantiles_order_a_bounded_number_of_values(spark, monkeypatch, few_groups):
     """However large a group, no task orders more than the bound; several rounds are needed."""
