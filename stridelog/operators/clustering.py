@@ -31,6 +31,8 @@ USERS_PER_K = 10
 # Seeding by sampled candidates: rounds, how many candidates a round draws for each cluster, and
 # how often to go on where there are fewer candidates than clusters.
 SEED_ROUNDS, PER_CLUSTER, MORE_ROUNDS = 2, 2, 20
+# Users per task of a scan, and users whose distances a task holds at a time.
+TASK_USERS, SCAN_ROWS = 20_000, 4096
 # A fit ends when no centre moves further than this.
 TOLERANCE = 1e-4
 
@@ -140,29 +142,31 @@ def _nearest_sums(points: DataFrame, fits: Sequence[np.ndarray]
     A task holds a sum per centre, and the driver gets their totals: some rows a centre.
     """
     bounds, flat = np.cumsum([0, *map(len, fits)]), np.concatenate(fits)
+    turned, norms, rows = -2 * flat.T, (flat**2).sum(axis=1), SCAN_ROWS
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, cost, sums = np.zeros(len(flat)), np.zeros(len(flat)), np.zeros(flat.shape)
-        for part in parts:
-            if not part.num_rows:
-                continue
+        for part in (p.slice(i, rows) for p in parts for i in range(0, p.num_rows, rows)):
             x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+            columns = np.ascontiguousarray(x.T)
+            far = x @ turned + norms  # the squared distances, less the same number for all centres
             for first, end in zip(bounds, bounds[1:]):
-                far = np.stack([((x - c) ** 2).sum(axis=1) for c in flat[first:end]])
-                near, size = far.argmin(axis=0), end - first
+                near, size = far[:, first:end].argmin(axis=1), end - first
+                apart = x - flat[first + near]
                 n[first:end] += np.bincount(near, minlength=size)
-                cost[first:end] += np.bincount(near, far.min(axis=0), minlength=size)
-                for j in range(x.shape[1]):
-                    sums[first:end, j] += np.bincount(near, x[:, j], minlength=size)
+                cost[first:end] += np.bincount(
+                    near, np.einsum("ij,ij->i", apart, apart), minlength=size)
+                for j, column in enumerate(columns):
+                    sums[first:end, j] += np.bincount(near, column, minlength=size)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(flat))), pa.array(n), pa.array(cost), pa.array(sums.tolist())],
             ["centre", "n", "cost", "sums"])
 
-    found = points.mapInArrow(
+    found = sorted(points.mapInArrow(
         run, "centre LONG, n DOUBLE, cost DOUBLE, sums ARRAY<DOUBLE>"
     ).groupBy("centre").agg(
         F.sum("n"), F.sum("cost"), *[F.sum(F.col("sums")[j]) for j in range(flat.shape[1])]
-    ).orderBy("centre").collect()
+    ).collect())
     table = np.array([list(r)[1:] for r in found])
     return [(table[first:end, 0], table[first:end, 2:], float(table[first:end, 1].sum()))
             for first, end in zip(bounds, bounds[1:])]
@@ -218,6 +222,17 @@ def fit_all(vectors: DataFrame, ks: Sequence[int], starts: int, seed: int = SEED
     clusters give fewer clusters.
     """
     points = vectors.select(F.xxhash64(USER).alias("key"), vector_to_array("scaled").alias("x"))
+    tasks = -(-points.count() // TASK_USERS)
+    points = (points.repartition(tasks) if tasks > 1 else points).persist()
+    try:
+        return _fitted(points, ks, starts, seed, max_iter)
+    finally:
+        points.unpersist()
+
+
+def _fitted(points: DataFrame, ks: Sequence[int], starts: int, seed: int,
+            max_iter: int) -> dict[int, KMeansModel]:
+    """``fit_all`` on the users' hashes and vectors."""
     firsts = points.agg(*[F.min_by("x", F.xxhash64("key", F.lit(seed + i))) for i in range(starts)])
     candidates = [np.array([x]) for x in firsts.first()]
     for step in range(MORE_ROUNDS):

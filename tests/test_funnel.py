@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -178,3 +179,22 @@ def test_report_without_predictions_has_nulls(store):
     got = report.generate_full_report(df, features=["total_events", "active_days"]).first()
     assert got["mean_upgrade_prob"] is None and got["actual_conversion_rate"] is None
     assert [t["feature"] for t in got["top_diagnostic_features"]] == ["active_days", "total_events"]
+
+
+def test_scans_spread_users_over_tasks(spark, monkeypatch):
+    """Users that come in one partition are dealt out, and the fit stays that of one task."""
+    df = spark.range(400).selectExpr(
+        "CAST(id AS STRING) AS person_id", "array(CAST(id % 4 * 10 AS DOUBLE), id % 7 / 70D) AS x")
+    points = df.select("person_id", array_to_vector("x").alias("scaled")).coalesce(1)
+    whole, sums, tasks = clustering.best_of(points, 4, 2), clustering._nearest_sums, set()
+
+    def counting(rows, fits):
+        tasks.add(rows.rdd.getNumPartitions())
+        return sums(rows, fits)
+
+    monkeypatch.setattr(clustering, "TASK_USERS", 100)
+    monkeypatch.setattr(clustering, "SCAN_ROWS", 30)
+    monkeypatch.setattr(clustering, "_nearest_sums", counting)
+    spread = clustering.best_of(points, 4, 2)
+    assert tasks == {4}
+    assert abs(spread.cost - whole.cost) < 1e-9
