@@ -184,20 +184,32 @@ class Boosting:
     A round fits ``ROUND_TREES`` trees to the Newton step of every row, (y - p) / (p (1 - p)), with
     the weights times p (1 - p), each over its own share of rows and features. They grow level by
     level in the same passes, which take most of the time whatever the size of the table. The rows
-    with their margins are kept in memory, and a round adds its trees to them once. After
+    with their margins and steps are kept in memory, and a round adds its trees to them once. After
     ``STORE_TREES`` trees the margins are written to the shared folder, so that plans stay short
     and a lost executor repeats only the rounds since.
     """
 
     def __init__(self, rows: DataFrame, seed: int = SEED) -> None:
         self.seed, self.trees, self._open = seed, [], 0
-        self._rows, self._before = self._placed(rows), None
+        self._columns = rows.columns
+        self._rows, self._before = self._kept(self._placed(rows)), None
 
     @staticmethod
     def _placed(rows: DataFrame) -> DataFrame:
-        """Each round is several passes, so the rows stay in memory, in tasks of some size."""
+        """The rows in tasks of some size."""
         tasks = -(-rows.count() // TASK_ROWS)
-        return (rows.repartition(tasks) if tasks > 1 else rows.coalesce(1)).persist()
+        return rows.repartition(tasks) if tasks > 1 else rows.coalesce(1)
+
+    @staticmethod
+    def _kept(rows: DataFrame) -> DataFrame:
+        """Each round is several passes, so the rows stay in memory, with the step to be fitted."""
+        p = F.lit(1.0) / (1.0 + F.exp(-F.col("_margin")))
+        slope = F.greatest(F.col("_p") * (1.0 - F.col("_p")), F.lit(1e-6))
+        return rows.withColumn("_p", p).withColumns({
+            "_slope_weight": F.col("_weight") * slope,
+            "_target": F.greatest(F.least((F.col("_y") - F.col("_p")) / slope,
+                                          F.lit(LARGEST_STEP)), F.lit(-LARGEST_STEP)),
+        }).drop("_p").persist()
 
     def grow(self, count: int) -> None:
         """Go on until there are ``count`` trees."""
@@ -208,13 +220,13 @@ class Boosting:
             self.trees += more
             self._open += len(more)
             self._drop_before()  # the round has filled the rows of now
-            self._before, self._rows = self._rows, self._moved(more).persist()
+            self._before, self._rows = self._rows, self._kept(self._moved(more))
 
     def _moved(self, more: Sequence[DecisionTreeRegressionModel]) -> DataFrame:
         """The rows with the margin after some more trees."""
         model = _ensemble(GBTRegressionModel, more, [STEP] * len(more))
         return model.setPredictionCol("_step").transform(self._rows).withColumn(
-            "_margin", F.col("_margin") + F.col("_step")).drop("_step")
+            "_margin", F.col("_margin") + F.col("_step")).select(*self._columns)
 
     def _with_margin(self) -> DataFrame:
         """The rows with the margin after all trees."""
@@ -227,23 +239,18 @@ class Boosting:
 
     def _store(self) -> None:
         moved = self._rows
-        self._rows = self._placed(written_once(moved, "margins"))
+        self._rows = self._kept(self._placed(written_once(
+            moved.select(*self._columns), "margins")))
         self._drop_before()
         moved.unpersist()
         self._open = 0
 
     def _next_trees(self, n: int) -> list[DecisionTreeRegressionModel]:
-        p = F.lit(1.0) / (1.0 + F.exp(-F.col("_margin")))
-        slope = F.greatest(F.col("_p") * (1.0 - F.col("_p")), F.lit(1e-6))
-        steps = self._with_margin().withColumn("_p", p).select(
-            "features", (F.col("_weight") * slope).alias("_weight"),
-            F.greatest(F.least((F.col("_y") - F.col("_p")) / slope, F.lit(LARGEST_STEP)),
-                       F.lit(-LARGEST_STEP)).alias("_target"))
         forest = RandomForestRegressor(
-            featuresCol="features", labelCol="_target", weightCol="_weight", numTrees=n,
+            featuresCol="features", labelCol="_target", weightCol="_slope_weight", numTrees=n,
             bootstrap=False, maxDepth=DEPTH, subsamplingRate=SHARE,
             featureSubsetStrategy=str(SHARE), minInstancesPerNode=LEAF_ROWS,
-            seed=self.seed + len(self.trees)).fit(steps)
+            seed=self.seed + len(self.trees)).fit(self._rows)
         return list(forest.trees)
 
     def classifier(self, count: int, n_features: int) -> GBTClassificationModel:

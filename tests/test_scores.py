@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -194,6 +195,24 @@ def test_boosting_goes_on_from_stored_margins(spark):
     assert model.getNumTrees == n
 
 
+def test_steps_are_kept_with_the_margins(spark):
+    """A round's passes read its steps from memory, and do not work them out of the margins."""
+    rows = spark.range(300).selectExpr(
+        "CAST(id % 50 AS DOUBLE) AS a", "2.0D AS _weight", "0.0D AS _margin",
+        "CAST(id % 50 > 30 AS DOUBLE) AS _y")
+    rows = propensity.VectorAssembler(inputCols=["a"], outputCol="features").transform(rows)
+    boosting = propensity.Boosting(rows)
+    boosting.grow(propensity.STORE_TREES + propensity.ROUND_TREES)
+    kept = boosting._rows
+    assert kept.storageLevel.useMemory and kept.columns[:len(rows.columns)] == rows.columns
+    for r in kept.select("_y", "_weight", "_margin", "_slope_weight", "_target").collect():
+        p = 1.0 / (1.0 + math.exp(-r["_margin"]))
+        slope = max(p * (1.0 - p), 1e-6)
+        assert r["_slope_weight"] == pytest.approx(2.0 * slope)
+        assert r["_target"] == pytest.approx(min(max((r["_y"] - p) / slope, -4.0), 4.0))
+    boosting.close()
+
+
 def test_boosting_goes_on_until_patience_runs_out_by_auc(spark):
     df = spark.range(600).selectExpr(
         "CAST(id AS STRING) AS person_id", "CAST(xxhash64(id, 1) % 50 AS DOUBLE) AS a",
