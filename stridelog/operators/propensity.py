@@ -192,13 +192,14 @@ class Boosting:
     def __init__(self, rows: DataFrame, seed: int = SEED) -> None:
         self.seed, self.trees, self._open = seed, [], 0
         self._columns = rows.columns
-        self._rows, self._before = self._kept(self._placed(rows)), None
+        self._before = self._placed(rows)
+        self._rows = self._kept(self._before)
 
     @staticmethod
     def _placed(rows: DataFrame) -> DataFrame:
-        """The rows in tasks of some size."""
+        """The rows in tasks of some size, kept so that later columns do not change the dealing."""
         tasks = -(-rows.count() // TASK_ROWS)
-        return rows.repartition(tasks) if tasks > 1 else rows.coalesce(1)
+        return (rows.repartition(tasks) if tasks > 1 else rows.coalesce(1)).persist()
 
     @staticmethod
     def _kept(rows: DataFrame) -> DataFrame:
@@ -239,9 +240,9 @@ class Boosting:
 
     def _store(self) -> None:
         moved = self._rows
-        self._rows = self._kept(self._placed(written_once(
-            moved.select(*self._columns), "margins")))
+        placed = self._placed(written_once(moved.select(*self._columns), "margins"))
         self._drop_before()
+        self._before, self._rows = placed, self._kept(placed)
         moved.unpersist()
         self._open = 0
 
