@@ -17,7 +17,7 @@ from stridelog.functions.columns import day_of
 from stridelog.operators import drift, propensity, sequences
 from stridelog.operators.feature_state import DailyState, state_features
 from stridelog.operators.features import build_feature_store
-from stridelog.session import new_path
+from stridelog.session import new_path, written_once
 from stridelog.streaming.scoring import ArrivalScoring
 
 QUERIES = Collection()
@@ -114,9 +114,9 @@ def _on_arrival(s: SparkSession, d: str) -> DataFrame:
         part.write.mode("append").parquet(arriving)
         stream = s.readStream.schema(log.schema).parquet(arriving)
         scoring.start(stream).awaitTermination()
-    latest = scoring.latest(s).select(
+    latest = written_once(scoring.latest(s).select(
         USER, "total_events", F.col("as_of").alias(CUTOFF), "upgrade_probability",
-        "upgrade_risk_tier", "recommended_action")
+        "upgrade_risk_tier", "recommended_action"), "latest-scores")
     batch = propensity.predict_batch(
         model, build_feature_store(log, latest.select(USER, CUTOFF), check_cutoffs=False))
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (

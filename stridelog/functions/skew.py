@@ -17,17 +17,18 @@ def hot_users(events: DataFrame, policy: SkewPolicy | None = None) -> DataFrame:
     """Users with more events than one task should take, and into how many pieces to cut them.
 
     Holds at most ``policy.max_hot_users`` rows: each of them owns more than that share
-    of all events.
+    of all events. Events without a user are left out of the counts, so that these and their total
+    come from one pass.
     """
     policy = policy or SKEW
-    counts = events.groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
+    counts = events.where(F.col(USER).isNotNull()).groupBy(USER).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     limit = F.greatest(
         F.lit(policy.rows_per_piece), F.ceil(F.col("_total") / F.lit(policy.max_hot_users))
     )
     return (
         counts.crossJoin(F.broadcast(total))
-        .where(F.col(USER).isNotNull() & (F.col("_n") > limit))
+        .where(F.col("_n") > limit)
         .select(USER, F.ceil(F.col("_n") / limit).cast("int").alias("_pieces"))
     )
 

@@ -4,14 +4,20 @@ Every batch writes what its events add to the feature state (see ``operators.fea
 the scores of its users, each under the number of the batch. A batch that is done again after a
 failure overwrites its own tables, so nothing counts twice. The state is the last compacted table
 and the batches since; only the rows of the batch's users are read from it into the features.
+
+A stream's own part, here the dropping of redelivered events, is dealt to a fixed number of tasks,
+each with files of its own in every batch. So there are only some for each core, and what a batch
+does with its events is planned as in a batch job instead.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,6 +29,23 @@ from stridelog.sources.sinks import write_parquet
 # Batches between two compacted states.
 COMPACT = 20
 LATENESS = "2 days"
+# Tasks of the stream's own part for each core, and how many it may have whatever the cores. The
+# checkpoint keeps the number that its first run had.
+CORE_TASKS, LEAST_TASKS = 4, 32
+ADAPTIVE, PARTITIONS = "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Some settings of a session, put back at the end."""
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 @dataclass(frozen=True)
@@ -44,9 +67,20 @@ class ArrivalScoring:
             timed = events.withColumn(TS, F.col(TS).cast("timestamp"))
             events = timed.withWatermark(TS, lateness).dropDuplicatesWithinWatermark(
                 [event_id]).withColumn(TS, F.col(TS).cast(kind))
-        return (events.writeStream.foreachBatch(self.process)
-                .option("checkpointLocation", f"{self.folder}/checkpoint")
-                .trigger(availableNow=True).start())
+        spark = events.sparkSession
+        outside = {name: spark.conf.get(name) for name in (ADAPTIVE, PARTITIONS)}
+        tasks = min(int(outside[PARTITIONS]),
+                    max(CORE_TASKS * spark.sparkContext.defaultParallelism, LEAST_TASKS))
+
+        def process(events: DataFrame, batch: int) -> None:
+            # The stream's part of the batch is planned by now, and again with the next batch.
+            with settings(events.sparkSession, outside):
+                self.process(events, batch)
+
+        with settings(spark, {PARTITIONS: str(tasks)}):  # the stream takes a copy of the session
+            return (events.writeStream.foreachBatch(process)
+                    .option("checkpointLocation", f"{self.folder}/checkpoint")
+                    .trigger(availableNow=True).start())
 
     def _path(self, name: str, batch: int) -> str:
         return f"{self.folder}/{name}/batch={batch}"

@@ -11,7 +11,7 @@ from stridelog.functions.columns import day_of
 from stridelog.operators import propensity
 from stridelog.operators.feature_state import DailyState, counted, merged, state_features
 from stridelog.operators.features import build_feature_store
-from stridelog.streaming.scoring import ArrivalScoring
+from stridelog.streaming.scoring import ADAPTIVE, LEAST_TASKS, PARTITIONS, ArrivalScoring, settings
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -134,3 +134,44 @@ def test_a_batch_done_again_counts_once(spark, log, model, tmp_path):
     state = merged(scoring._state(spark.read.parquet(f"{tmp_path}/added/batch=4"), 4))
     assert state.where("kind = 'event'").agg(F.sum("n")).first()[0] == whole
     assert last.count() == counted(log).select(USER).distinct().count()
+
+
+def test_a_stream_has_few_state_tasks_and_plans_batches_as_a_batch_job(
+        spark, log, model, tmp_path, monkeypatch):
+    seen, process = [], ArrivalScoring.process
+
+    def spied(self, events, batch):
+        conf = events.sparkSession.conf
+        seen.append((conf.get(ADAPTIVE), conf.get(PARTITIONS), events.rdd.getNumPartitions()))
+        process(self, events, batch)
+
+    monkeypatch.setattr(ArrivalScoring, "process", spied)
+    scoring = ArrivalScoring(model, f"{tmp_path}/live")
+    days = [dt.date(2024, 1, 12), dt.date(2024, 1, 31)]
+    for first, stop, partitions in zip([dt.date(2024, 1, 1), days[0]], days, ("200", "3")):
+        part = log.where((day_of(TS) <= F.lit(stop)) & (day_of(TS) > F.lit(first)))
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(log.schema).parquet(f"{tmp_path}/in")
+        with settings(spark, {PARTITIONS: partitions}):
+            scoring.start(stream).awaitTermination()
+            assert (spark.conf.get(ADAPTIVE), spark.conf.get(PARTITIONS)) == ("true", partitions)
+        # The second run keeps the checkpoint's tasks.
+        assert set(seen) == {("true", partitions, LEAST_TASKS)}
+        seen.clear()
+    latest = scoring.latest(spark)
+    batch = propensity.predict_batch(model, build_feature_store(
+        log.where(day_of(TS) > F.lit(dt.date(2024, 1, 1))),
+        latest.select(USER, F.col("as_of").alias(CUTOFF))))
+    both = (USER, "total_events", "active_days", "upgrade_probability", "upgrade_risk_tier")
+    assert rows(latest, both) == rows(batch, both)
+
+
+def test_hot_users_count_the_log_in_one_pass(spark, log, tmp_path):
+    from stridelog.functions.skew import SkewPolicy, hot_users
+
+    log.withColumn(USER, F.expr(f"IF(event_id % 5 = 0, NULL, {USER})")).write.parquet(
+        f"{tmp_path}/log")
+    hot = hot_users(spark.read.parquet(f"{tmp_path}/log"), SkewPolicy(100, 50))
+    hot.collect()
+    assert "ReusedExchange" in hot._jdf.queryExecution().executedPlan().toString()
+    assert [r[USER] for r in hot.collect()] == ["hot"]
